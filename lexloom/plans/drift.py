@@ -4,22 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions.vectors import cosine_distance, cosine_similarity, euclidean_distance
-from lexloom.operators.pooling import AGGREGATES, elements
-
-
-def _pool_both(groups, aggregates: list[Column], keys: list[str], dims: int) -> DataFrame:
-    named = [a.alias(f"_{i}") for i, a in enumerate(aggregates)]
-    pooled = groups.agg(*named)
-
-    def vector(start: int) -> Column:
-        parts = [F.col(f"_{i}") for i in range(start, start + dims)]
-        return F.when(parts[0].isNotNull(), F.array(*parts))
-
-    return pooled.select(*keys, vector(0).alias("pre"), vector(dims).alias("during"))
+from lexloom.operators.pooling import pooled_elements, pooled_vector
 
 
 def period_vectors(
@@ -37,11 +26,25 @@ def period_vectors(
     Both periods are pooled side by side in one scan and one shuffle, which also brings an
     entity's two vectors together: no join is needed. Both ends of a period are included.
     """
-    aggregate = AGGREGATES[how]
-    in_pre, in_during = F.col(period).between(*pre), F.col(period).between(*during)
-    rows = df.filter((F.size(vector) == dims) & (in_pre | in_during))
-    both = [*elements(vector, dims, in_pre), *elements(vector, dims, in_during)]
-    return _pool_both(rows.groupBy(entity), [aggregate(v) for v in both], [entity], dims)
+    rows = df.filter(F.size(vector) == dims).select(
+        entity,
+        vector,
+        F.col(period).between(*pre).alias("_in_pre"),
+        F.col(period).between(*during).alias("_in_during"),
+    )
+    pooled = (
+        rows.filter(F.col("_in_pre") | F.col("_in_during"))
+        .groupBy(entity)
+        .agg(
+            *pooled_elements(vector, dims, how, "_in_pre", "_pre_"),
+            *pooled_elements(vector, dims, how, "_in_during", "_during_"),
+        )
+    )
+    return pooled.select(
+        entity,
+        pooled_vector(dims, "_pre_").alias("pre"),
+        pooled_vector(dims, "_during_").alias("during"),
+    )
 
 
 def drift_by_entity(
@@ -56,9 +59,15 @@ def drift_by_entity(
 
 
 def drift_overall(vectors: DataFrame, dims: int) -> DataFrame:
-    """(euclidean_distance, cosine_distance) between the periods pooled over all entities."""
-    both = [F.max(v) for v in (*elements("pre", dims), *elements("during", dims))]
-    return _pool_both(vectors.groupBy(), both, [], dims).select(
+    """(euclidean_distance, cosine_distance) between the periods max-pooled over entities."""
+    pooled = vectors.agg(
+        *pooled_elements("pre", dims, prefix="_pre_"),
+        *pooled_elements("during", dims, prefix="_during_"),
+    )
+    both = pooled.select(
+        pooled_vector(dims, "_pre_").alias("pre"), pooled_vector(dims, "_during_").alias("during")
+    )
+    return both.select(
         euclidean_distance("pre", "during").alias("euclidean_distance"),
         cosine_distance("pre", "during").alias("cosine_distance"),
     )

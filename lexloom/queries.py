@@ -21,6 +21,7 @@ from lexloom.functions import (
     period_number,
     shrink,
     split_tokens,
+    to_vector,
     tokenise,
 )
 from lexloom.operators import embeddings as emb
@@ -420,8 +421,6 @@ def distinct_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silhouette(spark: SparkSession, sf: str) -> DataFrame:
-    from lexloom.functions import to_vector
-
     vectors = _vectors(spark, sf).select("label", to_vector("embedding").alias("v"))
     found = metrics.silhouette(vectors, "label", "v")
     return found.select(_r("silhouette").alias("silhouette"))
@@ -450,10 +449,10 @@ def nb_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 def nb_quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """The quality label from the text, for documents that have one."""
-    docs = _documents(spark, sf, "doc_id")
     labels = _table(spark, sf, "labels", "doc_id", "quality")
+    docs = stage(_documents(spark, sf, "doc_id").join(labels, "doc_id"), "labelled")
     found = plans.classify(
-        docs.join(labels, "doc_id"), "quality", "tokens", "nb", keys=["doc_id"], seed=SEED
+        docs, "quality", "tokens", "nb", keys=["doc_id"], seed=SEED
     ).metrics()
     return found.select("n", _r("accuracy").alias("accuracy"), _r("f1").alias("f1"))
 
