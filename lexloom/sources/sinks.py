@@ -12,8 +12,13 @@ def append_json(df: DataFrame, path: str) -> None:
 
 
 def append_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, written so that `read_csv` gives every field back."""
-    df.write.mode("append").options(header=True, escape='"').csv(path)
+    """CSV with a header, written so that `read_csv` gives every field back.
+
+    Blanks around a text are kept. CSV cannot tell an empty text from null: `read_csv` gives
+    null for both.
+    """
+    options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("append").options(header=True, escape='"', **options).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "append") -> None:
