@@ -158,6 +158,10 @@ def _nearest(vectors: str, key: str, k: int) -> str:
 
 SQL: dict[str, str] = {
     "parquet_scan": "SELECT doc_id, lang, source, n_chars FROM documents",
+    "row_counts": " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", count(*) AS n FROM {t}"
+        for t in ("documents", "labels", "embeddings", "conversations", "events", "orders")
+    ),
     "directory_slices": """
         SELECT lang, count(*) AS n, cast(sum(n_chars) AS BIGINT) AS n_chars, true AS named
         FROM documents GROUP BY lang""",
@@ -302,6 +306,7 @@ SQL: dict[str, str] = {
         FROM values_of JOIN pooled USING (label, i) GROUP BY vec_id""",
     "drift_by_entity": _drift(),
     "drift_chosen": _drift("WHERE label IN (1, 3, 5, 7)"),
+    "drift_joined": _drift(),
     "drift_overall": f"""{_PERIODS},
         overall AS (SELECT i, max(pre) AS pre, max(during) AS during FROM sides GROUP BY i)
         SELECT round(sqrt(sum((pre - during) * (pre - during))), 6) AS euclidean_distance,

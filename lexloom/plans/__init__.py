@@ -3,7 +3,12 @@
 from lexloom.plans.classification import Classified, classify
 from lexloom.plans.clusters import ClusterProfile, cluster_profile
 from lexloom.plans.collecting import collect_by, token_bag
-from lexloom.plans.drift import drift_by_entity, drift_overall, period_vectors
+from lexloom.plans.drift import (
+    drift_by_entity,
+    drift_overall,
+    joined_vectors,
+    period_vectors,
+)
 from lexloom.plans.keywords import group_keywords
 from lexloom.plans.neighbours import most_similar
 from lexloom.plans.topics import topics
@@ -17,6 +22,7 @@ __all__ = [
     "drift_by_entity",
     "drift_overall",
     "group_keywords",
+    "joined_vectors",
     "most_similar",
     "period_vectors",
     "token_bag",

@@ -16,7 +16,11 @@ from lexloom.sources.staging import stage
 
 @dataclass(frozen=True)
 class ClusterProfile:
-    """A fitted clustering; `assigned` has the keys, the features and the cluster."""
+    """A fitted clustering; `assigned` has the keys, the features and the cluster.
+
+    The cluster is worked out again from the written features each time, which is less
+    work than writing the features a second time.
+    """
 
     model: BisectingKMeansModel
     assigned: DataFrame
@@ -53,4 +57,4 @@ def cluster_profile(
     fitted = BisectingKMeans(
         k=k, seed=seed, featuresCol="features", predictionCol="cluster"
     ).fit(features)
-    return ClusterProfile(model=fitted, assigned=stage(fitted.transform(features), "clusters"))
+    return ClusterProfile(model=fitted, assigned=fitted.transform(features))

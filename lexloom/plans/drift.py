@@ -47,13 +47,25 @@ def period_vectors(
     )
 
 
+def joined_vectors(pre: DataFrame, during: DataFrame, entity: str, vector: str) -> DataFrame:
+    """(entity, pre, during) from two tables with one pooled vector per entity each."""
+    return pre.select(entity, F.col(vector).alias("pre")).join(
+        during.select(entity, F.col(vector).alias("during")), entity, "full"
+    )
+
+
 def drift_by_entity(
     vectors: DataFrame, entity: str, entities: Iterable | None = None
 ) -> DataFrame:
-    """(entity, similarity): cosine between the periods, for entities seen in both."""
+    """(entity, similarity): cosine between the periods, for entities seen in both.
+
+    Rows without an entity have none to compare. On `joined_vectors` the filters make
+    Spark plan an inner join.
+    """
     if entities is not None:
         vectors = vectors.filter(F.col(entity).isin(*entities))
-    return vectors.filter(F.col("pre").isNotNull() & F.col("during").isNotNull()).select(
+    in_both = F.col(entity).isNotNull() & F.col("pre").isNotNull() & F.col("during").isNotNull()
+    return vectors.filter(in_both).select(
         entity, cosine_similarity("pre", "during").alias("similarity")
     )
 

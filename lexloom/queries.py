@@ -82,6 +82,17 @@ def parquet_scan(spark: SparkSession, sf: str) -> DataFrame:
     return read_parquet(spark, f"{sf}/documents.parquet", ["doc_id", "lang", "source", "n_chars"])
 
 
+def row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    tables = ("documents", "labels", "embeddings", "conversations", "events", "orders")
+    counted = [
+        read_parquet(spark, f"{sf}/{t}.parquet").agg(F.count(F.lit(1)).alias("n"))
+        for t in tables
+    ]
+    return sampling.union_slices(
+        [n.select(F.lit(t).alias("table"), "n") for t, n in zip(tables, counted)]
+    )
+
+
 def directory_slices(spark: SparkSession, sf: str) -> DataFrame:
     """Write one directory per language, scan all of it, tell rows apart by their file."""
     path = new_path(spark, "by-lang")
@@ -390,6 +401,18 @@ def drift_chosen(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("label", _r("similarity").alias("similarity"))
 
 
+def drift_joined(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from two tables, one per period, joined by entity."""
+    vectors = _vectors(spark, sf)
+    pre, during = (
+        pool(rows.within(vectors, "vec_id", *period), ["label"], "embedding", DIMS)
+        for period in (PRE, DURING)
+    )
+    both = plans.joined_vectors(pre, during, "label", "embedding")
+    found = plans.drift_by_entity(both, "label")
+    return found.select("label", _r("similarity").alias("similarity"))
+
+
 def drift_overall(spark: SparkSession, sf: str) -> DataFrame:
     found = plans.drift_overall(_period_vectors(spark, sf), DIMS)
     return found.select(
@@ -399,9 +422,11 @@ def drift_overall(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word2vec_nearest(spark: SparkSession, sf: str) -> DataFrame:
-    """Embed the documents, pool by source, find the most similar sources."""
+    """Train and save a model, embed with the saved one, find the most similar sources."""
     docs = stage(_documents(spark, sf, "doc_id", "source"), "doc-tokens")
-    embedded = emb.embed(docs, emb.fit_embedding(docs, "tokens", SEED), "tokens")
+    path = new_path(spark, "word2vec")
+    emb.fit_embedding(docs, "tokens", SEED).save(path)
+    embedded = emb.embed(docs, emb.load_embedding(path), "tokens")
     return plans.most_similar(embedded, "source", "embedding", emb.DIMS, k=5)
 
 
@@ -496,6 +521,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         parquet_scan,
+        row_counts,
         directory_slices,
         csv_round_trip,
         json_append,
@@ -531,6 +557,7 @@ QUERIES: dict[str, Query] = {
         similarity_to_label,
         drift_by_entity,
         drift_chosen,
+        drift_joined,
         drift_overall,
         word2vec_nearest,
         composition_counts,

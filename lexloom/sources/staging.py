@@ -1,7 +1,8 @@
 """Intermediate tables in the shared folder of the cluster.
 
 A table that several jobs read is written once and read back: its lineage ends there, it
-needs no executor memory, and losing executors does not lose it.
+needs no executor memory, and losing executors does not lose it. The folder of an
+application may be deleted once it has ended.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/lexloom/{name}-{uuid.uuid4().hex}"
+    """A path not used before, in a folder of this application's own."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/lexloom/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:

@@ -95,5 +95,6 @@ def test_staged_tables_lie_in_the_folder_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == named
     staged = stage(spark.range(5), "five")
-    assert all(f"{named}/lexloom/five-" in f for f in staged.inputFiles())
+    app = spark.sparkContext.applicationId
+    assert all(f"{named}/lexloom/{app}/five-" in f for f in staged.inputFiles())
     assert staged.count() == 5
