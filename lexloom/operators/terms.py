@@ -18,9 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-# A vocabulary up to this many terms is small enough to be sent to every executor.
-BROADCAST_TERMS = 100_000
-
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -47,11 +44,6 @@ class Vocabulary:
         return spark.createDataFrame(pa.table(columns))
 
 
-def join_terms(rows: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
-    """Inner join on `term`; the term side is sent to every executor if it is small."""
-    return rows.join(F.broadcast(terms) if n_terms <= BROADCAST_TERMS else terms, "term")
-
-
 def drop_listed_terms(rows: DataFrame, words: DataFrame, term: str = "term") -> DataFrame:
     """Stop-word removal on term rows: no row whose term is listed, whatever its case.
 
@@ -148,10 +140,13 @@ def fit_vocabulary(df: DataFrame, tokens: str, max_df: float, size: int) -> Voca
 
 
 def tfidf_rows(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Add `weight` = tf · ln((N + 1) / (df + 1)) to term rows; other terms are dropped."""
+    """Add `weight` = tf · ln((N + 1) / (df + 1)) to term rows; other terms are dropped.
+
+    Spark knows the size of the vocabulary: it sends it to the executors below its broadcast
+    threshold and shuffles both sides above it.
+    """
     terms = vocabulary.to_frame(rows.sparkSession).select("term", "term_id", "idf")
-    joined = join_terms(rows, terms, len(vocabulary.terms))
-    return joined.withColumn("weight", F.col("tf") * F.col("idf")).drop("idf")
+    return rows.join(terms, "term").withColumn("weight", F.col("tf") * F.col("idf")).drop("idf")
 
 
 def tfidf_vectors(

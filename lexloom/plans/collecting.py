@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions.randomness import bucket
-from lexloom.operators.terms import BROADCAST_TERMS
 from lexloom.sources.staging import stage
 
 # Tokens per collected row: some ten megabytes.
@@ -46,9 +45,8 @@ def collect_by(
         *[F.col(k).alias(f"_{k}") for k in keys],
         F.ceil(F.col("_n") / F.lit(chunk_tokens)).alias("_chunks"),
     )
+    # As a written table its size is known, so Spark sends it to the executors if it is small.
     large = stage(large, "large-groups")
-    if large.count() <= BROADCAST_TERMS:
-        large = F.broadcast(large)
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     u = bucket(*[f"_row.{k}" for k in row_key], seed=seed)
     chunk = F.floor(u * F.coalesce(F.col("_chunks"), F.lit(1))).cast("int")

@@ -69,14 +69,14 @@ def topics(
 ) -> DataFrame:
     """(concept, rank, term, weight, singular_value), per value of `slice` if one is named.
 
-    Tokens are written to the shared folder once, by slice, so every slice's jobs read
-    their own directory only. `parallelism` slices are worked on at a time up to their
+    Without slices `df` is read twice, so it should be a table or a scan with its tokens,
+    not a long computation. With slices the tokens are written to the shared folder once,
+    by slice, so every slice's jobs read their own directory only. `parallelism` slices are worked on at a time up to their
     decomposition, each of them by the whole cluster, so one big slice is no bottleneck.
     """
     columns = ["concept", "rank", "term", "weight", "singular_value"]
     if slice is None:
-        staged = stage(df.select(tokens), "tokens")
-        return top_terms(term_loadings(staged, tokens, k, max_df, vocab), terms).select(columns)
+        return top_terms(term_loadings(df, tokens, k, max_df, vocab), terms).select(columns)
 
     staged = stage(df.select(slice, tokens), "tokens-by-slice", by=[slice])
     values = [r[0] for r in staged.select(slice).distinct().orderBy(slice).collect()]

@@ -98,3 +98,27 @@ def test_staged_tables_lie_in_the_folder_the_session_names(spark):
     app = spark.sparkContext.applicationId
     assert all(f"{named}/lexloom/{app}/five-" in f for f in staged.inputFiles())
     assert staged.count() == 5
+
+
+class _Session:
+    """A session without a checkpoint folder."""
+
+    def __init__(self, master: str):
+        self.conf = {}
+        self.sparkContext = self
+        self.master = master
+        self.folder = None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_no_folder_of_one_machine_on_a_cluster(tmp_path, monkeypatch):
+    with pytest.raises(ValueError):
+        shared_dir(_Session("yarn"))
+    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
+    local = _Session("local[2]")
+    assert shared_dir(local).startswith(str(tmp_path)) and shared_dir(local) == local.folder

@@ -75,13 +75,16 @@ def test_tfidf_equals_spark_models(spark):
         assert ours[key] == pytest.approx(value) and by_rows[key] == pytest.approx(value)
 
 
-def test_large_vocabularies_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(terms, "BROADCAST_TERMS", 1)
+def test_only_small_vocabularies_are_broadcast(spark):
     df = table(spark, [["a", "b"], ["b", "c"]])
     vocabulary = terms.fit_vocabulary(df, "tokens", 2, 10)
-    rows = terms.tfidf_rows(terms.term_rows(df, ["id"], "tokens"), vocabulary)
-    assert "ResolvedHint" not in rows._jdf.queryExecution().analyzed().toString()
-    assert rows.count() == 4
+    large = terms.Vocabulary(2, *(tuple(range(10**6)) for _ in range(3)))
+    large = terms.Vocabulary(2, tuple(map(str, large.terms)), large.ctf, large.df)
+    for fitted, broadcast in ((vocabulary, True), (large, False)):
+        rows = terms.tfidf_rows(terms.term_rows(df, ["id"], "tokens"), fitted)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == broadcast
+    assert terms.tfidf_rows(terms.term_rows(df, ["id"], "tokens"), vocabulary).count() == 4
 
 
 def test_listed_terms_are_dropped_whatever_their_case(spark):
