@@ -16,7 +16,8 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
+
+from lexloom.sources.staging import stage
 
 
 @dataclass(frozen=True)
@@ -111,22 +112,20 @@ def group_term_stats(rows: DataFrame) -> DataFrame:
 def select_vocabulary(stats: DataFrame, max_df: float, size: int) -> Vocabulary:
     """Choose the vocabulary from (term, ctf, df) with its null-term row.
 
-    `max_df` below 1 is a share of the documents, otherwise a number of documents. Only
-    the chosen terms reach the driver.
+    `max_df` below 1 is a share of the documents, otherwise a number of documents. The
+    statistics are written once, so the text behind them is read once; only the chosen
+    terms reach the driver.
     """
-    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counted = stats.filter(F.col("term").isNull()).select("df").collect()
-        n_docs = counted[0].df if counted else 0
-        most = max_df * n_docs if max_df < 1.0 else max_df
-        chosen = (
-            stats.filter(F.col("term").isNotNull() & (F.col("df") <= F.lit(float(most))))
-            .orderBy(F.desc("ctf"), "term")
-            .limit(size)
-            .collect()
-        )
-    finally:
-        stats.unpersist()
+    stats = stage(stats, "term-stats")
+    counted = stats.filter(F.col("term").isNull()).select("df").collect()
+    n_docs = counted[0].df if counted else 0
+    most = max_df * n_docs if max_df < 1.0 else max_df
+    chosen = (
+        stats.filter(F.col("term").isNotNull() & (F.col("df") <= F.lit(float(most))))
+        .orderBy(F.desc("ctf"), "term")
+        .limit(size)
+        .collect()
+    )
     return Vocabulary(
         n_docs=n_docs,
         terms=tuple(r.term for r in chosen),

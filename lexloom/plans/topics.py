@@ -24,13 +24,14 @@ _ONE_SVD = Lock()
 def term_loadings(df: DataFrame, tokens: str, k: int, max_df: float, vocab: int) -> DataFrame:
     """(concept, singular_value, term, weight): right singular vectors of the tf-idf matrix.
 
-    The rows stay on the executors, in memory or on their disks for the iterations; the
-    driver gets the k × vocabulary weights. The sign of a singular vector is arbitrary, so
+    The rows are written once and held by the executors, in memory or on their disks, for
+    the iterations: one that is lost reads its rows again, not the text. The driver gets
+    the k × vocabulary weights. The sign of a singular vector is arbitrary, so
     each is turned to make its largest weight in magnitude positive.
     """
     spark = df.sparkSession
     vocabulary = fit_vocabulary(df, tokens, max_df, vocab)
-    features = tfidf_vectors(df, tokens, vocabulary).select("features")
+    features = stage(tfidf_vectors(df, tokens, vocabulary).select("features"), "topic-features")
     rows = MLUtils.convertVectorColumnsFromML(features, "features").persist()
     try:
         matrix = RowMatrix(rows, numCols=len(vocabulary.terms))
@@ -71,14 +72,16 @@ def topics(
 
     Without slices `df` is read twice, so it should be a table or a scan with its tokens,
     not a long computation. With slices the tokens are written to the shared folder once,
-    by slice, so every slice's jobs read their own directory only. `parallelism` slices are worked on at a time up to their
+    by slice, so every slice's jobs read their own directory only; they are rebalanced
+    first, so small slices make few files and a big one is split over many tasks. `parallelism` slices are worked on at a time up to their
     decomposition, each of them by the whole cluster, so one big slice is no bottleneck.
     """
     columns = ["concept", "rank", "term", "weight", "singular_value"]
     if slice is None:
         return top_terms(term_loadings(df, tokens, k, max_df, vocab), terms).select(columns)
 
-    staged = stage(df.select(slice, tokens), "tokens-by-slice", by=[slice])
+    evened = df.select(slice, tokens).hint("rebalance", slice)
+    staged = stage(evened, "tokens-by-slice", by=[slice])
     values = [r[0] for r in staged.select(slice).distinct().orderBy(slice).collect()]
 
     def one(value) -> DataFrame:

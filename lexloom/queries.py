@@ -430,6 +430,40 @@ def word2vec_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return plans.most_similar(embedded, "source", "embedding", emb.DIMS, k=5)
 
 
+def leaders_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """From raw CSV to drift: dated speeches, marked rows, embeddings, two periods.
+
+    A document's date is that of the order with its number, its party the language.
+    """
+    docs = _table(spark, sf, "documents", "doc_id", "text", "lang", "source")
+    dates = _table(spark, sf, "orders", "o_orderkey", "o_orderdate")
+    raw = docs.join(dates, docs.doc_id == dates.o_orderkey).select(
+        F.col("doc_id").alias("sitting"),
+        F.col("text").alias("speech"),
+        F.col("source").alias("roles"),
+        F.col("lang").alias("party"),
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("sitting_date"),
+    )
+    path = new_path(spark, "speeches")
+    append_csv(raw, path)
+    speeches = rows.complete_rows(read_csv(spark, path), drop=["sitting"])
+    tokens = tokenise("speech", MIN_LENGTH)
+    speeches = rows.with_tokens(speeches, tokens, stop_words=STOP_WORDS).drop("speech")
+    speeches = stage(speeches.withColumn("year", parse_year("sitting_date")), "speeches")
+    model = emb.fit_embedding(speeches, "tokens", SEED)
+    leaders = rows.within(rows.with_marker(speeches, "roles", "c1"), "year", 1995, 2001)
+    vectors = plans.period_vectors(
+        emb.embed(leaders, model, "tokens"),
+        "party",
+        "embedding",
+        "year",
+        (1995, 1997),
+        (1998, 2001),
+        emb.DIMS,
+    )
+    return plans.drift_by_entity(vectors, "party")
+
+
 # ---- clusters, classes, metrics ------------------------------------------------------
 
 
@@ -560,6 +594,7 @@ QUERIES: dict[str, Query] = {
         drift_joined,
         drift_overall,
         word2vec_nearest,
+        leaders_drift,
         composition_counts,
         distinct_groups,
         silhouette,

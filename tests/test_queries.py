@@ -11,6 +11,7 @@ QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
 WITHOUT_SQL = {
     "spark_sample",
     "word2vec_nearest",
+    "leaders_drift",
     "svm_metrics",
     "topics",
     "topics_by_lang",
@@ -34,6 +35,24 @@ def test_query_equals_sql(spark, sf, con, name):
     assert differences(QUERIES[name](spark, sf), con, SQL[name]) == ""
 
 
+def test_leaders_drift_has_a_row_per_party(spark, sf):
+    found = QUERIES["leaders_drift"](spark, sf).collect()
+    assert {r.party for r in found} <= {"de", "en", "es", "fr"} and len(found) > 1
+    assert all(-1.0 <= r.similarity <= 1.0 for r in found)
+
+
+def test_word2vec_gives_every_source_its_neighbours(spark, sf):
+    found = QUERIES["word2vec_nearest"](spark, sf).collect()
+    assert len(found) == 20 * 5 and all(r.source != r.other for r in found)
+
+
+def test_spark_samples_come_from_the_table(spark, sf):
+    found = {r.doc_id for r in QUERIES["spark_sample"](spark, sf).collect()}
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    assert 0 < len(found) < documents.count()
+    assert found <= {r.doc_id for r in documents.select("doc_id").collect()}
+
+
 def test_entry(spark):
     found = entry_point.entry(spark)
     assert found.columns == ["source", "term", "tf", "weight"]
