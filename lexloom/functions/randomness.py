@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 # Digits of the hash used: 8 hexadecimal ones make 32 bits.
 HEX_DIGITS = 8
 BUCKETS = float(16**HEX_DIGITS)
+# Each possible number of copies is a term of the expression, so there must not be too many.
+MAX_MEAN = 20.0
 
 
 def _col(c: Column | str) -> Column:
@@ -29,6 +31,8 @@ def bucket(*key: Column | str, seed: int = 0) -> Column:
 
 def poisson_steps(mean: float) -> list[float]:
     """Cumulative probabilities of 0, 1, 2 … copies, as far as `bucket` can tell them apart."""
+    if not 0.0 <= mean <= MAX_MEAN:
+        raise ValueError(f"keyed draws make 0 to {MAX_MEAN} copies on average, not {mean}")
     steps, p, total, n = [], math.exp(-mean), 0.0, 0
     while (total := total + p) < 1.0 - 1.0 / BUCKETS:
         steps.append(total)

@@ -10,27 +10,44 @@ import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexloom.operators.sampling import union_slices
-from lexloom.operators.terms import fit_vocabulary, tfidf_vectors
+from lexloom.operators.terms import Vocabulary, fit_vocabulary, tfidf_vectors
 from lexloom.sources.staging import stage
 
 # The driver's part of an SVD keeps its state in static fields: one at a time.
 _ONE_SVD = Lock()
 
 
+def _loadings(
+    spark: SparkSession, vocabulary: Vocabulary, v: np.ndarray, strengths: np.ndarray
+) -> DataFrame:
+    n_terms, n_concepts = v.shape
+    concepts = np.repeat(np.arange(1, n_concepts + 1), n_terms)
+    columns = {
+        "concept": pa.array(concepts, pa.int32()),
+        "singular_value": pa.array(np.repeat(strengths, n_terms), pa.float64()),
+        "term": pa.array(list(vocabulary.terms) * n_concepts, pa.string()),
+        "weight": pa.array(v.T.ravel(), pa.float64()),
+    }
+    return spark.createDataFrame(pa.table(columns))
+
+
 def term_loadings(df: DataFrame, tokens: str, k: int, max_df: float, vocab: int) -> DataFrame:
     """(concept, singular_value, term, weight): right singular vectors of the tf-idf matrix.
 
     The rows are written once and held by the executors, in memory or on their disks, for
     the iterations: one that is lost reads its rows again, not the text. The driver gets
     the k × vocabulary weights. The sign of a singular vector is arbitrary, so
-    each is turned to make its largest weight in magnitude positive.
+    each is turned to make its largest weight in magnitude positive. Without a term in the
+    vocabulary there is no concept and the table is empty.
     """
     spark = df.sparkSession
     vocabulary = fit_vocabulary(df, tokens, max_df, vocab)
+    if not vocabulary.terms:
+        return _loadings(spark, vocabulary, np.empty((0, 0)), np.empty(0))
     features = stage(tfidf_vectors(df, tokens, vocabulary).select("features"), "topic-features")
     rows = MLUtils.convertVectorColumnsFromML(features, "features").persist()
     try:
@@ -42,14 +59,7 @@ def term_loadings(df: DataFrame, tokens: str, k: int, max_df: float, vocab: int)
         rows.unpersist()
     largest = v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])]
     v = v * np.where(largest < 0, -1.0, 1.0)
-    n_terms, n_concepts = v.shape
-    columns = {
-        "concept": pa.array(np.repeat(np.arange(1, n_concepts + 1, dtype=np.int32), n_terms)),
-        "singular_value": pa.array(np.repeat(strengths, n_terms)),
-        "term": pa.array(list(vocabulary.terms) * n_concepts, pa.string()),
-        "weight": pa.array(v.T.ravel()),
-    }
-    return spark.createDataFrame(pa.table(columns))
+    return _loadings(spark, vocabulary, v, strengths)
 
 
 def top_terms(loadings: DataFrame, terms: int) -> DataFrame:
@@ -83,6 +93,8 @@ def topics(
     evened = df.select(slice, tokens).hint("rebalance", slice)
     staged = stage(evened, "tokens-by-slice", by=[slice])
     values = [r[0] for r in staged.select(slice).distinct().orderBy(slice).collect()]
+    if not values:
+        raise ValueError("there are no rows, so there is no slice")
 
     def one(value) -> DataFrame:
         part = staged.filter(F.col(slice).eqNullSafe(F.lit(value)))

@@ -57,6 +57,18 @@ def test_topics_of_a_slice_are_those_of_its_rows(spark, docs):
     assert ours == pytest.approx(theirs)
 
 
+def test_a_slice_without_terms_has_no_topics(spark):
+    df = spark.createDataFrame(
+        [("x", ["a", "b"]), ("x", ["a", "c", "c"]), ("x", ["b", "c"]), ("y", ["a", "b"])],
+        "s string, tokens array<string>",
+    )
+    found = topics(df, "tokens", k=2, terms=2, max_df=0.7, vocab=9, slice="s")
+    assert {r.s for r in found.collect()} == {"x"}
+    assert topics(df.filter("s = 'y'"), "tokens").count() == 0
+    with pytest.raises(ValueError):
+        topics(df.filter("s = 'z'"), "tokens", slice="s")
+
+
 def test_clusters_hold_every_row(docs):
     profile = cluster_profile(docs, "tokens", ["source", "lang"], vocab=500)
     assert profile.composition(["source", "lang"]).agg(F.sum("n")).first()[0] == docs.count()

@@ -40,6 +40,13 @@ def test_rates(rows):
     assert sample(rows, 0.0, 1, ["id"]).count() == 0
 
 
+def test_keyed_copies_are_bounded(rows):
+    assert sample_with_replacement(rows, 0.0, 1, ["id"]).count() == 0
+    assert sample_with_replacement(rows, 3.0, 1, ["id"]).count() == pytest.approx(3 * N, rel=0.05)
+    with pytest.raises(ValueError):
+        sample_with_replacement(rows, 1000.0, 1, ["id"])
+
+
 def test_the_same_seed_gives_the_same_rows(rows):
     for draw in (sample, sample_with_replacement):
         assert ids(draw(rows, 0.2, 5)) == ids(draw(rows, 0.2, 5))
