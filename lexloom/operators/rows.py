@@ -72,9 +72,10 @@ def with_tokens(
     """Add a token column and keep rows with at least `min_count` tokens.
 
     `tokens` is any expression giving an array of lower-case tokens, such as
-    `tokenise(text)` or `clean_tokens(array)`. Short tokens go first, listed words next. The array is made by `explode` of a one-element array, which
-    adds no row: a filter cannot move below `explode`, so the text is not split a second
-    time inside the filter on the number of tokens.
+    `tokenise(text)` or `clean_tokens(array)`. Short tokens go first, listed words next.
+    The array is made by `explode` of a one-element array, which adds no row: a filter
+    cannot move below `explode`, so the text is not split a second time inside the filter
+    on the number of tokens.
     """
     if min_length > 1:
         tokens = F.filter(tokens, lambda t: F.length(t) >= min_length)

@@ -32,7 +32,8 @@ def _tokens(text: str, min_length: int, stop_words=()) -> str:
 
 def _docs(stop_words=q.STOP_WORDS, source: str = "documents") -> str:
     return f"""docs AS (
-        SELECT * FROM (SELECT *, {_tokens('text', q.MIN_LENGTH, stop_words)} AS tokens FROM {source})
+        SELECT *
+        FROM (SELECT *, {_tokens('text', q.MIN_LENGTH, stop_words)} AS tokens FROM {source})
         WHERE len(tokens) >= 2)"""
 
 
@@ -211,7 +212,8 @@ SQL: dict[str, str] = {
         SELECT role, clean_period, count(*) AS n FROM numbered GROUP BY role, clean_period""",
     "years": """
         WITH text_days AS (
-            SELECT o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%Y-%m-%d')
+            SELECT o_orderstatus,
+                CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%Y-%m-%d')
                 ELSE strftime(o_orderdate, '%d/%m/%Y') END AS s FROM orders),
         days AS (SELECT o_orderstatus, try_strptime(s, '%d/%m/%Y') AS day FROM text_days)
         SELECT o_orderstatus, cast(year(day) AS INT) AS year, count(*) AS n,
@@ -280,10 +282,12 @@ SQL: dict[str, str] = {
     "sampled_tokens": f"""
         WITH {_DRAWN},
         said AS (
-            SELECT * FROM (SELECT conv_id, copy, role, turn, {_tokens('text', 1)} AS tokens FROM drawn)
+            SELECT *
+            FROM (SELECT conv_id, copy, role, turn, {_tokens('text', 1)} AS tokens FROM drawn)
             WHERE len(tokens) >= 1)
         SELECT role, turn,
-               md5(string_agg(array_to_string(tokens, ','), ',' ORDER BY conv_id, copy)) AS tokens_md5
+               md5(string_agg(array_to_string(tokens, ','), ',' ORDER BY conv_id, copy))
+                   AS tokens_md5
         FROM said GROUP BY role, turn""",
     "max_pool": _pooled("max", "label"),
     "mean_pool": _pooled("avg", "label"),
@@ -301,8 +305,9 @@ SQL: dict[str, str] = {
     "similarity_to_label": f"""
         WITH {_LONG_VECTORS},
         pooled AS (SELECT label, i, avg(value) AS m FROM values_of GROUP BY label, i)
-        SELECT vec_id, round(sum(value * m) / (sqrt(sum(value * value)) * sqrt(sum(m * m))), 6) + 0.0
-            AS similarity
+        SELECT vec_id,
+               round(sum(value * m) / (sqrt(sum(value * value)) * sqrt(sum(m * m))), 6) + 0.0
+                   AS similarity
         FROM values_of JOIN pooled USING (label, i) GROUP BY vec_id""",
     "drift_by_entity": _drift(),
     "drift_chosen": _drift("WHERE label IN (1, 3, 5, 7)"),

@@ -83,8 +83,9 @@ def topics(
     Without slices `df` is read twice, so it should be a table or a scan with its tokens,
     not a long computation. With slices the tokens are written to the shared folder once,
     by slice, so every slice's jobs read their own directory only; they are rebalanced
-    first, so small slices make few files and a big one is split over many tasks. `parallelism` slices are worked on at a time up to their
-    decomposition, each of them by the whole cluster, so one big slice is no bottleneck.
+    first, so small slices make few files and a big one is split over many tasks.
+    `parallelism` slices are worked on at a time up to their decomposition, each of them by
+    the whole cluster, so one big slice is no bottleneck.
     """
     columns = ["concept", "rank", "term", "weight", "singular_value"]
     if slice is None:
