@@ -9,9 +9,10 @@ from lexloom.sources.readers import (
     word_list,
 )
 from lexloom.sources.sinks import append_csv, append_json, write_parquet
-from lexloom.sources.staging import shared_dir, stage
+from lexloom.sources.staging import Staging, shared_dir, stage
 
 __all__ = [
+    "Staging",
     "append_csv",
     "append_json",
     "read_csv",
