@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm import bpe
+from lexloom.llm.packing import pack, tokenized_pieces
+from lexloom.llm.secrets import BASE_RULES, find_secrets, spans_text
 from lexloom.llm.token_counts import token_counts
 from lexloom.sources import read_parquet
 
 # Parameters of the queries.
+SEQUENCE_TOKENS = 4096
+PACK_FILE, PACK_END_ID = "word_bpe_49k.json", 1
 TOKEN_LIMIT = 512
 COUNT_FILE = "byte_bpe_50k.json"
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -24,11 +28,34 @@ def _table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
     return read_parquet(spark, f"{sf}/{name}.parquet", columns)
 
 
+def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents", "doc_id", "text")
+    path = public_tokenizers.path(PACK_FILE)
+    pieces = tokenized_pieces(docs, path, SEQUENCE_TOKENS, PACK_END_ID)
+    digested = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack(digested, SEQUENCE_TOKENS)
+
+
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents", "doc_id", "text")
     return token_counts(docs, public_tokenizers.path(COUNT_FILE), TOKEN_LIMIT)
 
 
+def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = find_secrets(_table(spark, sf, "documents", "doc_id", "text"))
+    base = [rule.kind for rule in BASE_RULES]
+
+    def of(*kinds: str):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in base],
+        F.sha2(spans_text(of(*base)).cast("binary"), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents", "doc_id", "text")
     path = public_tokenizers.path(RANK_FILE)
@@ -43,7 +70,9 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_packing": op2_packing,
     "op5_token_counts": op5_token_counts,
+    "op9_secrets": op9_secrets,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
