@@ -5,19 +5,40 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Sequence
 from itertools import filterfalse
+from pathlib import Path
+from tempfile import mkdtemp
+from zipfile import ZipFile
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+import lexloom
+
 # Chunks longer than this are worked out each time; shorter ones are remembered.
 REMEMBERED_LENGTH = 64
 # Chunks a worker remembers; beyond, it starts again with none. Bounds memory, not results.
 REMEMBERED = 400_000
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable by the executors' Python workers, as --py-files does."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(lexloom.__file__).parent
+        archive = Path(mkdtemp(prefix="lexloom-code-")) / "lexloom.zip"  # the driver serves it
+        with ZipFile(archive, "w") as file:
+            for source in sorted(package.rglob("*.py")):
+                file.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+
+
 def quoted(name: str) -> str:
     """A column name that may hold dots or blanks, for use in `F.col`."""
     return f"`{name.replace('`', '``')}`"
@@ -36,6 +57,7 @@ def map_columns(
     list (or Arrow array) per output column. No other column of `df` is read, so clashing
     names do not matter, unless a kept column has the name of an output.
     """
+    ship(df.sparkSession)
     made = T.StructType.fromDDL(outputs)
     if clash := set(keep) & set(made.names):
         raise ValueError(f"kept columns have names of results: {sorted(clash)}")

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
-from lexloom.llm.batches import Chunks, map_columns, quoted
+from lexloom.llm.batches import Chunks, map_columns, quoted, ship
 from lexloom.llm.token_counts import byte_characters
 from lexloom.sources import Staging, stage
 
@@ -212,6 +212,7 @@ class _Places:
 
 def _with_columns(df: DataFrame, make, outputs: str) -> DataFrame:
     """`df` with columns that `make()` makes from the arrays of each batch."""
+    ship(df.sparkSession)
     schema = T.StructType([*df.schema.fields, *T.StructType.fromDDL(outputs).fields])
     arrow = to_arrow_schema(schema, prefers_large_types=False)
 

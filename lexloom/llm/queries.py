@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from lexloom.llm import bpe
 from lexloom.llm.packing import pack, tokenized_pieces
 from lexloom.llm.secrets import BASE_RULES, find_secrets, spans_text
+from lexloom.llm.simhash import fingerprints, near_groups
 from lexloom.llm.token_counts import token_counts
-from lexloom.sources import read_parquet
+from lexloom.sources import read_parquet, stage
 
 # Parameters of the queries.
+SIMHASH_SHINGLE, SIMHASH_RADIUS = 3, 3
 SEQUENCE_TOKENS = 4096
 PACK_FILE, PACK_END_ID = "word_bpe_49k.json", 1
 TOKEN_LIMIT = 512
@@ -28,6 +30,14 @@ def _table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
     return read_parquet(spark, f"{sf}/{name}.parquet", columns)
 
 
+def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents", "doc_id", "text")
+    prints = stage(fingerprints(docs, SIMHASH_SHINGLE), "simhash")
+    groups = near_groups(prints, SIMHASH_RADIUS)
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents", "doc_id", "text")
     path = public_tokenizers.path(PACK_FILE)
@@ -70,6 +80,7 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op5_token_counts": op5_token_counts,
     "op9_secrets": op9_secrets,
