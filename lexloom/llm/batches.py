@@ -20,7 +20,9 @@ import lexloom
 # Chunks longer than this are worked out each time; shorter ones are remembered.
 REMEMBERED_LENGTH = 64
 # Chunks a worker remembers; beyond, it starts again with none. Bounds memory, not results.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
+# Rows handed to a function at once; an Arrow batch is cut into so many.
+ROWS_AT_ONCE = 4096
 
 
 _shipped: set[str] = set()
@@ -68,7 +70,7 @@ def map_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in _cut(batches):
             columns = [batch.column(n + i).to_pylist() for i in range(len(inputs))]
             new = [
                 x.cast(kind) if isinstance(x, pa.Array) else pa.array(x, type=kind)
@@ -82,6 +84,12 @@ def map_columns(
     return df.select(*read).mapInArrow(run, schema)
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+
+
 class Chunks:
     """Values of texts put together from the values of their chunks, most of which recur.
 

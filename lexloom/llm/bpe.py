@@ -18,7 +18,6 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,7 +26,7 @@ from lexloom.llm.batches import Chunks, blank_chunks, chunk_text, map_columns
 WORD_BITS = 6  # of a rank, for each level of the bitmap
 WORD_MASK = (1 << WORD_BITS) - 1
 # Bytes merged together, in whole pre-tokens: bounds a worker's memory to about 100 MB.
-BYTES_AT_ONCE = 4_000_000
+BYTES_AT_ONCE = 2_000_000
 
 
 class RankBitmap:
@@ -215,28 +214,41 @@ def _shared_ranks(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(read_ranks(path))
 
 
+def _joined(tokens: dict[int, bytes], ids: bytes | None) -> bytes:
+    return b"".join(map(tokens.__getitem__, array("I", ids or b"")))
+
+
 def encode(
-    docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: tuple = ("doc_id",)
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    text: str = "text",
+    keep: tuple = ("doc_id",),
+    decoded: bool = False,
 ) -> DataFrame:
     """`keep`, ids (binary: 32-bit unsigned little-endian), n_tokens (long) per row.
 
     Each match of `pattern` in the whole text is encoded by itself; special tokens are
     ordinary text. The pattern must be one whose matches hold a blank at most in front, or
     are white space. A null text counts as empty: no ids. Repeated rows are each encoded.
-    Other columns are not read.
+    Other columns are not read. With `decoded`, the ids are decoded again in the same worker,
+    as `decode` does.
     """
     content = _shared_ranks(docs.sparkSession, ranks_path)
 
     def make():
         chunks = _encoder(content.value, pattern)
+        tokens = _token_table(content.value)
 
         def work(texts):
             ids = chunks(texts, b"".join)
-            return ids, [len(x) // 4 for x in ids]
+            counts = [len(x) // 4 for x in ids]
+            return (ids, counts, [_joined(tokens, x) for x in ids]) if decoded else (ids, counts)
 
         return work
 
-    return map_columns(docs, make, [text], keep, "ids binary, n_tokens bigint")
+    outputs = "ids binary, n_tokens bigint" + ", decoded binary" * decoded
+    return map_columns(docs, make, [text], keep, outputs)
 
 
 def decode(
@@ -249,12 +261,7 @@ def decode(
     content = _shared_ranks(encoded.sparkSession, ranks_path)
 
     def make():
-        look_up = _token_table(content.value).__getitem__
-
-        def work(packed):
-            joined = [b"".join(map(look_up, array("I", x or b""))) for x in packed]
-            return (pa.array(joined, type=pa.binary()),)
-
-        return work
+        tokens = _token_table(content.value)
+        return lambda packed: ([_joined(tokens, x) for x in packed],)
 
     return map_columns(encoded, make, [ids], keep, "decoded binary")

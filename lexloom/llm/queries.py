@@ -69,9 +69,8 @@ def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents", "doc_id", "text")
     path = public_tokenizers.path(RANK_FILE)
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, path, keep=("doc_id", "n_tokens", "ids"))
-    return decoded.select(
+    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
