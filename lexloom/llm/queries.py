@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm import bpe
+from lexloom.llm.exact_top_k import exact_top_k
+from lexloom.llm.line_dedup import dedup_lines
+from lexloom.llm.neighbours import nearest_by_product
 from lexloom.llm.packing import pack, tokenized_pieces
+from lexloom.llm.quality import fit_quality, quality_scores
 from lexloom.llm.secrets import BASE_RULES, find_secrets, spans_text
 from lexloom.llm.simhash import fingerprints, near_groups
 from lexloom.llm.token_counts import token_counts
@@ -19,6 +23,9 @@ from lexloom.sources import read_parquet, stage
 SIMHASH_SHINGLE, SIMHASH_RADIUS = 3, 3
 SEQUENCE_TOKENS = 4096
 PACK_FILE, PACK_END_ID = "word_bpe_49k.json", 1
+FOLDS, GOOD_FROM = 5, 0.3
+NEAREST, NEAREST_EVERY = 20, 20
+TOP_K, TOP_K_EVERY = 5, 50
 TOKEN_LIMIT = 512
 COUNT_FILE = "byte_bpe_50k.json"
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -46,11 +53,46 @@ def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(digested, SEQUENCE_TOKENS)
 
 
+def held_out():
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(False))
+
+
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents", "doc_id", "text")
+    labels = _table(spark, sf, "labels", "doc_id", "quality").filter(~held_out())
+    scored = quality_scores(docs, fit_quality(docs, labels))
+    predicted = (F.col("score") >= GOOD_FROM).cast("int")
+    part = held_out().alias("held_out")
+    return scored.select("doc_id", part, "score", predicted.alias("predicted"))
+
+
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents", "doc_id", "text")
     return token_counts(docs, public_tokenizers.path(COUNT_FILE), TOKEN_LIMIT)
 
 
+def op6_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _table(spark, sf, "embeddings", "vec_id", "embedding")
+    return nearest_by_product(vectors, F.col("id") % NEAREST_EVERY == 0, NEAREST)
+
+
+def op7_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _table(spark, sf, "embeddings", "vec_id", "embedding")
+    return exact_top_k(vectors, F.col("id") % TOP_K_EVERY == 0, TOP_K)
+
+
+def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents", "doc_id", "text")
+    runs = F.transform("deleted_runs", lambda r: F.concat_ws("-", r["first"], r["last"]))
+    sizes = F.transform("deleted_runs", lambda r: (r["last"] - r["first"] + 1).cast("bigint"))
+    return dedup_lines(docs).select(
+        "doc_id",
+        F.aggregate(sizes, F.lit(0).cast("bigint"), lambda n, x: n + x).alias("n_deleted"),
+        F.array_join(runs, ",").alias("deleted_lines"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
     found = find_secrets(_table(spark, sf, "documents", "doc_id", "text"))
     base = [rule.kind for rule in BASE_RULES]
@@ -81,7 +123,11 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op4_quality": op4_quality,
     "op5_token_counts": op5_token_counts,
+    "op6_neighbours": op6_neighbours,
+    "op7_exact_top_k": op7_exact_top_k,
+    "op8_line_dedup": op8_line_dedup,
     "op9_secrets": op9_secrets,
     "op10_byte_bpe": op10_byte_bpe,
 }

@@ -217,15 +217,18 @@ def _links(prints: DataFrame, radius: int, staging: Staging) -> DataFrame:
 def near_groups(
     docs: DataFrame, radius: int = 3, fingerprint: str = "fingerprint", key: str = "doc_id"
 ) -> DataFrame:
-    """All columns of `docs` and component_id: the least key among the rows it reaches.
+    """All columns of `docs`, component_id and component_root of each row.
+
+    component_id is the least key among the rows it reaches, component_root the fingerprint
+    that stands for them.
 
     Two rows are linked if their fingerprints differ in at most `radius` bits, and a row
     reaches what is linked to it directly or through others. `docs` is read twice, so it
-    should be a staged table. Rows with a null key link others but are never a component's
-    name; a component without a key has null. Rows with a null fingerprint get null.
+    should be a staged table. Rows with a null key link others but never name a component;
+    one without any key has a null component_id. Rows with a null fingerprint get nulls.
     """
-    if "component_id" in docs.columns:
-        raise ValueError("a column has the name of the result: component_id")
+    if clash := {"component_id", "component_root", "__fingerprint"} & set(docs.columns):
+        raise ValueError(f"columns have names of results: {sorted(clash)}")
     prints = docs.groupBy(F.col(quoted(fingerprint)).alias("fingerprint")).agg(
         F.min(F.col(quoted(key))).alias("first")
     )
@@ -238,7 +241,9 @@ def near_groups(
         )
         least = named.groupBy("root").agg(F.min("first").alias("component_id"))
         named = named.join(least, "root").select(
-            F.col("fingerprint").alias("__fingerprint"), "component_id"
+            F.col("fingerprint").alias("__fingerprint"),
+            "component_id",
+            F.col("root").alias("component_root"),
         )
         named = stage(named, "components")
     same = F.col(quoted(fingerprint)) == F.col("__fingerprint")
