@@ -87,19 +87,28 @@ def _winnow(text: str, least: int) -> list[dict]:
     return rows
 
 
-def merged_runs(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Spans that overlap or follow each other as one."""
+def merged_runs(lines: list[str], spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """First and last numbers of the lines in `spans`, and of the blank lines between such."""
     runs: list[tuple[int, int]] = []
-    for first, last in sorted(spans):
-        if runs and first <= runs[-1][1] + 1:
-            runs[-1] = (runs[-1][0], max(runs[-1][1], last))
+    reach, at, spans, joined = -1, 0, sorted(spans), False
+    for number, line in enumerate(lines):
+        if not line.strip():
+            continue
+        while at < len(spans) and spans[at][0] <= number:
+            reach = max(reach, spans[at][1])
+            at += 1
+        if number > reach:
+            joined = False
+        elif joined:
+            runs[-1] = (runs[-1][0], number)
         else:
-            runs.append((first, last))
+            runs.append((number, number))
+            joined = True
     return runs
 
 
-def _without(text: str, runs: list[tuple[int, int]]) -> str:
-    lines, kept, done = text.split("\n"), [], 0
+def _without(lines: list[str], runs: list[tuple[int, int]]) -> str:
+    kept, done = [], 0
     for first, last in runs:
         kept += lines[done:first]
         done = last + 1
@@ -160,8 +169,8 @@ def dedup_lines(
 
     A run is a number of lines in a row, equal but for white space at the ends of lines, with
     `min_words` words or more. Every run that occurred before, in a document with a smaller
-    key or further up in the same one, is deleted, and the blank lines inside it. Runs that
-    overlap their first occurrence stay. deleted_runs has the numbers (from 0) of the first
+    key or further up in the same one, is deleted, as are blank lines between deleted ones. Runs
+    that overlap their first occurrence stay. deleted_runs has the numbers (from 0) of the first
     and last lines. Rows with equal key and text are one document and come out alike; rows
     with a null key come last, ordered by their texts' hashes. A null text stays null.
     """
@@ -173,9 +182,15 @@ def dedup_lines(
 
     def make():
         def work(texts, spans):
-            runs = [merged_runs([(s["first"], s["last"]) for s in x or []]) for x in spans]
-            kept = [_without(t, r) if r else t for t, r in zip(texts, runs)]
-            return kept, [[{"first": a, "last": b} for a, b in r] for r in runs]
+            kept, deleted = list(texts), []
+            for i, (text, found) in enumerate(zip(texts, spans)):
+                runs = []
+                if found:
+                    lines = text.split("\n")
+                    runs = merged_runs(lines, [(s["first"], s["last"]) for s in found])
+                    kept[i] = _without(lines, runs)
+                deleted.append([{"first": a, "last": b} for a, b in runs])
+            return kept, deleted
 
         return work
 

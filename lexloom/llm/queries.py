@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm import bpe
+from lexloom.llm import bpe, oracles
 from lexloom.llm.exact_top_k import exact_top_k
+from lexloom.llm.licenses import known_licenses, license_scan
 from lexloom.llm.line_dedup import dedup_lines
 from lexloom.llm.neighbours import nearest_by_product
 from lexloom.llm.packing import pack, tokenized_pieces
@@ -53,6 +54,16 @@ def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(digested, SEQUENCE_TOKENS)
 
 
+def op3_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents", "doc_id", "text")
+    found = license_scan(docs, known_licenses(spark))
+    return found.select(
+        "doc_id",
+        F.array_join("whole", ",").alias("whole_text"),
+        F.array_join("in_lines", ",").alias("in_lines"),
+    )
+
+
 def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(False))
 
@@ -123,6 +134,7 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op3_licenses": op3_licenses,
     "op4_quality": op4_quality,
     "op5_token_counts": op5_token_counts,
     "op6_neighbours": op6_neighbours,
@@ -132,4 +144,4 @@ QUERIES: dict[str, Query] = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_licenses": oracles.op3_licenses()}
