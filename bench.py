@@ -56,6 +56,8 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.codegen.maxFields", "1000")
         .config("spark.checkpoint.dir", shared)
+        # Each table is one row group, which one task would read.
+        .config("spark.lexloom.scanPartitions", cpus)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -24,8 +24,14 @@ def norm(x: Column | str) -> Column:
 
 
 def cosine_similarity(x: Column | str, y: Column | str) -> Column:
-    """x·y / (‖x‖‖y‖); 0 where either vector is all zeros."""
-    return F.coalesce(F.try_divide(dot(x, y), norm(x) * norm(y)), F.lit(0.0))
+    """x·y / (‖x‖‖y‖); 0 where either vector is all zeros or the quotient is not a number.
+
+    Null where a vector is null, holds a null or is not as long as the other.
+    """
+    product = dot(x, y)
+    lengths = norm(x) * norm(y)
+    quotient = F.when(lengths == 0.0, F.lit(0.0)).otherwise(F.nanvl(product / lengths, F.lit(0.0)))
+    return F.when(product.isNotNull(), quotient)
 
 
 def cosine_distance(x: Column | str, y: Column | str) -> Column:

@@ -8,35 +8,11 @@ from __future__ import annotations
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from lexloom.operators.terms import term_stats
 
 # Fixed value: the length of a document vector.
 DIMS = 100
-# Words with a vector: the driver holds all of them, so their number is bounded.
-MAX_WORDS = 500_000
-
-
-def rarest_kept(df: DataFrame, tokens: str, max_words: int, min_count: int) -> int:
-    """The least number of occurrences that at most `max_words` words reach.
-
-    If `min_count` lets more words through, it is raised to the next power of two that
-    does not; how many words reach each power is counted in one aggregation.
-    """
-    powers = [2**p for p in range(63)]
-    counts = (
-        term_stats(df, tokens)
-        .filter(F.col("term").isNotNull())
-        .agg(
-            F.count_if(F.col("ctf") >= min_count).alias("enough"),
-            *[F.count_if(F.col("ctf") >= F.lit(p)).alias(str(p)) for p in powers],
-        )
-        .first()
-    )
-    if counts["enough"] <= max_words:
-        return min_count
-    return next(p for p in powers if p >= min_count and counts[str(p)] <= max_words)
+# Parts of the corpus that train side by side; the vectors depend on their number.
+PARTITIONS = 8
 
 
 def fit_embedding(
@@ -45,19 +21,21 @@ def fit_embedding(
     seed: int,
     dims: int = DIMS,
     min_count: int = 5,
-    max_words: int = MAX_WORDS,
     iterations: int = 1,
-    partitions: int | None = None,
+    partitions: int = PARTITIONS,
 ) -> Word2VecModel:
-    """Train word vectors; by default one partition per core trains side by side.
+    """Train vectors for all words that occur `min_count` times.
 
-    `df` is read several times, so it should be a table, not a long computation.
+    Spark's driver holds the vectors of all words while it trains; raise `min_count` for a
+    corpus whose words do not fit. `partitions` parts train side by side and are averaged:
+    more are faster on more cores, and give other vectors. `df` is read several times, so it
+    should be a table, not a long computation.
     """
     return Word2Vec(
         vectorSize=dims,
-        minCount=rarest_kept(df, tokens, max_words, min_count),
+        minCount=min_count,
         maxIter=iterations,
-        numPartitions=partitions or df.sparkSession.sparkContext.defaultParallelism,
+        numPartitions=partitions,
         seed=seed,
         inputCol=tokens,
         outputCol="_embedding",

@@ -68,18 +68,19 @@ def with_tokens(
     min_length: int = 1,
     stop_words: Iterable[str] = (),
     min_count: int = 2,
+    case_sensitive: bool = False,
 ) -> DataFrame:
     """Add a token column and keep rows with at least `min_count` tokens.
 
-    `tokens` is any expression giving an array of lower-case tokens, such as
-    `tokenise(text)` or `clean_tokens(array)`. Short tokens go first, listed words next.
+    `tokens` is any expression giving an array of tokens, such as `tokenise(text)` or
+    `clean_tokens(array)`. Short tokens go first, listed words next, in any case; where the
+    tokens and the list are known to be lower-case, `case_sensitive` saves work.
     The array is made by `explode` of a one-element array, which adds no row: a filter
     cannot move below `explode`, so the text is not split a second time inside the filter
     on the number of tokens.
     """
     if min_length > 1:
         tokens = F.filter(tokens, lambda t: F.length(t) >= min_length)
-    listed = [w.lower() for w in stop_words if w]
-    kept = without_words(tokens, listed, case_sensitive=True)
+    kept = without_words(tokens, stop_words, case_sensitive)
     made = df.withColumn(output, F.explode(F.array(kept)))
     return min_tokens(made, output, min_count)

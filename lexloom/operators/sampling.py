@@ -2,7 +2,8 @@
 
 With `key`, a draw depends on the key's value and the seed alone: it is the same after a
 lost executor, on another cluster and in another file layout. Rows sharing a key value
-share its fate, so `key` should be unique. Without `key`, Spark's own samplers are used.
+share its fate, so `key` should be unique. Draws of different kinds are independent, also
+with one seed: a sample can be split. Without `key`, Spark's own samplers are used.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from lexloom.functions.randomness import bucket, poisson_copies
 def sample(df: DataFrame, fraction: float, seed: int, key: Sequence[str] = ()) -> DataFrame:
     """Sample without replacement."""
     if key:
-        return df.filter(bucket(*key, seed=seed) < F.lit(fraction))
+        return df.filter(bucket(*key, purpose="sample", seed=seed) < F.lit(fraction))
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
@@ -28,7 +29,7 @@ def sample_with_replacement(
 ) -> DataFrame:
     """Sample with replacement; keyed copies are told apart by the column `copy`."""
     if key:
-        copies = poisson_copies(bucket(*key, seed=seed), fraction)
+        copies = poisson_copies(bucket(*key, purpose="copies", seed=seed), fraction)
         numbers = F.when(copies > 0, F.sequence(F.lit(1), copies))
         return df.withColumn("copy", F.explode(numbers))
     return df.sample(withReplacement=True, fraction=fraction, seed=seed)
@@ -46,7 +47,7 @@ def sample_slices(
     rate = F.lit(rest)
     for value, fraction in fractions.items():
         rate = F.when(F.col(slice_column).eqNullSafe(F.lit(value)), F.lit(fraction)).otherwise(rate)
-    return df.filter(bucket(*key, seed=seed) < rate)
+    return df.filter(bucket(*key, purpose="sample", seed=seed) < rate)
 
 
 def union_slices(slices: Sequence[DataFrame]) -> DataFrame:
@@ -64,7 +65,7 @@ def split(
     for weight in weights:
         edges.append(edges[-1] + weight / total)
     edges[-1] = 1.0
-    u = bucket(*key, seed=seed)
+    u = bucket(*key, purpose="split", seed=seed)
     return [df.filter((u >= F.lit(a)) & (u < F.lit(b))) for a, b in zip(edges, edges[1:])]
 
 

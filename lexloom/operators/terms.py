@@ -14,10 +14,10 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexloom.sources.staging import stage
+from lexloom.sources.staging import Staging
 
 
 @dataclass(frozen=True)
@@ -54,6 +54,21 @@ def drop_listed_terms(rows: DataFrame, words: DataFrame, term: str = "term") ->
     return rows.join(listed, F.lower(F.col(term)) == F.col("_listed"), "left_anti")
 
 
+def drop_listed_tokens(
+    df: DataFrame, keys: Sequence[str], tokens: str, words: DataFrame, min_count: int = 1
+) -> DataFrame:
+    """(keys…, tokens): token arrays without the words of a list of any size, in any case.
+
+    `keys` identify a row. Rows left with fewer than `min_count` tokens go, so those with none
+    go always.
+    """
+    placed = df.select(*keys, F.posexplode(tokens).alias("_at", "_token"))
+    kept = drop_listed_terms(placed, words, "_token").groupBy(*keys)
+    parts = F.sort_array(F.collect_list(F.struct("_at", "_token")))
+    made = kept.agg(F.transform(parts, lambda p: p["_token"]).alias(tokens))
+    return made.filter(F.size(tokens) >= min_count)
+
+
 def term_rows(df: DataFrame, keys: Sequence[str], tokens: str) -> DataFrame:
     """(keys…, term, tf): one row per distinct token of each input row, without a shuffle."""
     words = df.select(*keys, F.sort_array(tokens).alias("_s"))
@@ -116,16 +131,17 @@ def select_vocabulary(stats: DataFrame, max_df: float, size: int) -> Vocabulary:
     statistics are written once, so the text behind them is read once; only the chosen
     terms reach the driver.
     """
-    stats = stage(stats, "term-stats")
-    counted = stats.filter(F.col("term").isNull()).select("df").collect()
-    n_docs = counted[0].df if counted else 0
-    most = max_df * n_docs if max_df < 1.0 else max_df
-    chosen = (
-        stats.filter(F.col("term").isNotNull() & (F.col("df") <= F.lit(float(most))))
-        .orderBy(F.desc("ctf"), "term")
-        .limit(size)
-        .collect()
-    )
+    with Staging(stats.sparkSession) as staging:
+        stats = staging.write(stats, "term-stats")
+        counted = stats.filter(F.col("term").isNull()).select("df").collect()
+        n_docs = counted[0].df if counted else 0
+        most = max_df * n_docs if max_df < 1.0 else max_df
+        chosen = (
+            stats.filter(F.col("term").isNotNull() & (F.col("df") <= F.lit(float(most))))
+            .orderBy(F.desc("ctf"), "term")
+            .limit(size)
+            .collect()
+        )
     return Vocabulary(
         n_docs=n_docs,
         terms=tuple(r.term for r in chosen),
@@ -134,6 +150,32 @@ def select_vocabulary(stats: DataFrame, max_df: float, size: int) -> Vocabulary:
     )
 
 
+def sliced_tfidf(
+    rows: DataFrame, slice: str, max_df: float, size: int
+) -> DataFrame:
+    """Rows of `group_term_rows` with a vocabulary of their own per slice, and `weight`.
+
+    `slice` is one of their grouping columns; documents are the groups of a slice. Everything
+    is joins and aggregates over all slices at once, so their number does not matter.
+    """
+    stats = rows.groupBy(slice, "term").agg(
+        F.sum("tf").alias("_ctf"), F.count(F.lit(1)).alias("_df")
+    )
+    sizes = stats.filter("term IS NULL").select(F.col(slice).alias("_of"), F.col("_df").alias("_n"))
+    known = stats.filter("term IS NOT NULL").select(
+        F.col(slice).alias("_slice"), F.col("term").alias("_term"), "_ctf", "_df"
+    )
+    most = F.col("_n") * max_df if max_df < 1.0 else F.lit(float(max_df))
+    known = known.join(sizes, F.col("_slice").eqNullSafe(F.col("_of"))).filter(F.col("_df") <= most)
+    order = Window.partitionBy("_slice").orderBy(F.desc("_ctf"), "_term")
+    known = known.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= size)
+    idf = F.log((F.col("_n") + 1.0) / (F.col("_df") + 1.0))
+    known = known.select("_slice", "_term", idf.alias("_idf"))
+    same = F.col(slice).eqNullSafe(F.col("_slice")) & (F.col("term") == F.col("_term"))
+    weighted = rows.join(known, same).withColumn("weight", F.col("tf") * F.col("_idf"))
+    return weighted.drop("_slice", "_term", "_idf")
+
+
 def fit_vocabulary(df: DataFrame, tokens: str, max_df: float, size: int) -> Vocabulary:
     return select_vocabulary(term_stats(df, tokens), max_df, size)
 

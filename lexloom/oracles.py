@@ -6,22 +6,30 @@ Iterative models and Spark's own samplers have no SQL; the tests check their pro
 from __future__ import annotations
 
 from lexloom import queries as q
-from lexloom.functions.randomness import BUCKETS, HEX_DIGITS, poisson_steps
 
 
 def _list(values) -> str:
     return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
 
 
-def _bucket(*keys: str, seed: int = q.SEED) -> str:
+def _bucket(*keys: str, purpose: str, seed: int = q.SEED) -> str:
+    """The first 32 bits of a digest, as a share of their range."""
     parts = ", ".join(f"coalesce(cast({k} AS VARCHAR), '')" for k in keys)
-    digest = f"md5(concat_ws(':', '{seed}', {parts}))"
-    return f"(cast('0x' || substr({digest}, 1, {HEX_DIGITS}) AS BIGINT) / cast({BUCKETS} AS DOUBLE))"
+    digest = f"md5(concat_ws(':', '{purpose}', '{seed}', {parts}))"
+    return f"(cast('0x' || substr({digest}, 1, 8) AS BIGINT) / cast(4294967296 AS DOUBLE))"
 
 
 def _copies(u: str, mean: float) -> str:
-    steps = (f"cast({u} >= cast({step!r} AS DOUBLE) AS INT)" for step in poisson_steps(mean))
-    return " + ".join(steps)
+    """The number of n for which a Poisson variable is at most n with probability u or less."""
+    at_most = f"""list_sum(list_transform(range(0, n + 1),
+        lambda i: exp(-cast({mean} AS DOUBLE)) * pow(cast({mean} AS DOUBLE), i) / factorial(i::INT)))"""
+    return f"len(list_filter(range(0, 20), lambda n: {at_most} <= {u}))"
+
+
+_SAMPLED = f"""{_bucket('doc_id', purpose='sample')} < cast(
+    CASE source {' '.join(f"WHEN '{s}' THEN {f}" for s, f in q.SLICE_FRACTIONS.items())}
+    ELSE {q.REST_FRACTION} END AS DOUBLE)"""
+_TRAIN = f"{_bucket('doc_id', purpose='split')} < cast({q.TRAIN_SHARE} AS DOUBLE)"
 
 
 def _tokens(text: str, min_length: int, stop_words=()) -> str:
@@ -59,7 +67,7 @@ def _naive_bayes(label: str, source: str) -> str:
     WITH {_docs(source=source)}, {_vocabulary('doc_id', 0.5, 5000)},
     labelled AS (
         SELECT doc_id, cast({label} AS VARCHAR) AS label,
-               {_bucket('doc_id')} < cast({q.TRAIN_SHARE} AS DOUBLE) AS train FROM docs),
+               {_TRAIN} AS train FROM docs),
     weights AS (SELECT doc_id, term, tf * idf AS w FROM counts JOIN vocab USING (term)),
     order_of AS (
         SELECT label, row_number() OVER (ORDER BY count(*) DESC, label) AS i
@@ -105,7 +113,7 @@ _F1 = """
 _DRAWN = f"""
     drawn AS (
         SELECT * FROM (
-            SELECT *, unnest(generate_series(1, {_copies(_bucket('conv_id', 'turn'), q.DRAW_RATE)}))
+            SELECT *, unnest(generate_series(1, {_copies(_bucket('conv_id', 'turn', purpose='copies'), q.DRAW_RATE)}))
                 AS copy FROM conversations)
         ORDER BY conv_id, turn, copy LIMIT {q.DRAW_LIMIT})"""
 
@@ -114,14 +122,18 @@ _LONG_VECTORS = """
         SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS i,
                cast(unnest(embedding) AS DOUBLE) AS value FROM embeddings)"""
 
-_PERIODS = f"""
+
+
+def _periods(during: tuple = q.DURING) -> str:
+    return f"""
     WITH {_LONG_VECTORS},
     sides AS (
         SELECT label, i,
-               max(value) FILTER (WHERE vec_id BETWEEN {q.PRE[0]} AND {q.PRE[1]}) AS pre,
-               max(value) FILTER (WHERE vec_id BETWEEN {q.DURING[0]} AND {q.DURING[1]}) AS during
+               max(value) FILTER (WHERE vec_id % 2 BETWEEN {q.PRE[0]} AND {q.PRE[1]}) AS pre,
+               max(value) FILTER (WHERE vec_id % 2 BETWEEN {during[0]} AND {during[1]}) AS during
         FROM values_of GROUP BY label, i)"""
 
+
 _COSINE = "sum(pre * during) / (sqrt(sum(pre * pre)) * sqrt(sum(during * during)))"
 
 
@@ -133,11 +145,18 @@ def _missing(column: str, text: bool = False) -> str:
 
 
 def _drift(where: str = "") -> str:
-    return f"""{_PERIODS}
+    return f"""{_periods()}
     SELECT label, round({_COSINE}, 6) AS similarity FROM sides {where}
     GROUP BY label HAVING count(pre) > 0 AND count(during) > 0"""
 
 
+def _overall(during: tuple = q.DURING) -> str:
+    return f"""{_periods(during)},
+        overall AS (SELECT i, max(pre) AS pre, max(during) AS during FROM sides GROUP BY i)
+        SELECT round(sqrt(sum((pre - during) * (pre - during))), 6) AS euclidean_distance,
+               round(1 - {_COSINE}, 6) + 0.0 AS cosine_distance FROM overall"""
+
+
 def _pooled(aggregate: str, key: str) -> str:
     key = f"{key}, " if key else ""
     return f"""WITH {_LONG_VECTORS}
@@ -164,7 +183,8 @@ SQL: dict[str, str] = {
         for t in ("documents", "labels", "embeddings", "conversations", "events", "orders")
     ),
     "directory_slices": """
-        SELECT lang, count(*) AS n, cast(sum(n_chars) AS BIGINT) AS n_chars, true AS named
+        SELECT lang, count(*) AS n, cast(sum(n_chars) AS BIGINT) AS n_chars,
+               true AS slices_are_files
         FROM documents GROUP BY lang""",
     "csv_round_trip": "SELECT doc_id, md5(text) AS text_md5, lang, source FROM documents",
     "json_append": "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents",
@@ -199,6 +219,19 @@ SQL: dict[str, str] = {
         WITH {_docs()}
         SELECT doc_id, md5(array_to_string(tokens, ',')) AS line_md5, len(tokens) AS n_tokens
         FROM docs""",
+    "cleaned_arrays": f"""
+        WITH arrays AS (
+            SELECT doc_id, CASE WHEN doc_id % 10 = 1 THEN [] ELSE string_split(text, ' ') END AS x
+            FROM documents WHERE doc_id % 10 <> 0),
+        kept AS (
+            SELECT doc_id, list_filter(x, lambda t: length(t) >= {q.MIN_LENGTH}
+                AND lower(t) NOT IN ({_list(q.STOP_WORDS)})) AS tokens,
+                list_filter(list_transform(x, lambda t: lower(t)),
+                    lambda t: length(t) >= {q.MIN_LENGTH}) AS lowered
+            FROM arrays)
+        SELECT doc_id, len(tokens) AS n_tokens, md5(array_to_string(tokens, '|')) AS tokens_md5,
+               md5(array_to_string(lowered, '|')) AS lowered_md5
+        FROM kept WHERE len(tokens) >= 2""",
     "token_counts": f"""
         WITH {_docs()}
         SELECT term, count(*) AS ctf, count(DISTINCT doc_id) AS df
@@ -207,9 +240,9 @@ SQL: dict[str, str] = {
         WITH numbered AS (
             SELECT role, try_cast(replace(
                 CASE WHEN role = 'assistant' THEN 'period review ' ELSE 'period ' END || turn,
-                'period', '') AS INT) AS clean_period
+                'period', '') AS INT) AS number
             FROM conversations)
-        SELECT role, clean_period, count(*) AS n FROM numbered GROUP BY role, clean_period""",
+        SELECT role, number, count(*) AS n FROM numbered GROUP BY role, number""",
     "years": """
         WITH text_days AS (
             SELECT o_orderstatus,
@@ -228,21 +261,25 @@ SQL: dict[str, str] = {
                {_missing('quality')}, {_missing('toxic')}
         FROM documents LEFT JOIN labels USING (doc_id)""",
     "sample_rows": f"""
-        SELECT doc_id, lang FROM documents WHERE {_bucket('doc_id')} < cast(0.3 AS DOUBLE)""",
+        SELECT doc_id, lang FROM documents
+        WHERE {_bucket('doc_id', purpose='sample')} < cast(0.3 AS DOUBLE)""",
     "sample_with_replacement": f"""
-        SELECT doc_id, lang, cast(unnest(generate_series(1, {_copies(_bucket('doc_id'), 0.8)}))
-            AS INT) AS copy FROM documents""",
+        SELECT doc_id, lang, cast(unnest(generate_series(1,
+            {_copies(_bucket('doc_id', purpose='copies'), 0.8)})) AS INT) AS copy
+        FROM documents""",
     "sample_slices": f"""
-        SELECT doc_id, source FROM documents
-        WHERE {_bucket('doc_id')} < cast(
-            CASE source {' '.join(f"WHEN '{s}' THEN {f}" for s, f in q.SLICE_FRACTIONS.items())}
-            ELSE {q.REST_FRACTION} END AS DOUBLE)""",
+        SELECT doc_id, source FROM documents WHERE {_SAMPLED}""",
+    "sampled_split": f"""
+        SELECT source, CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS part, count(*) AS n
+        FROM documents WHERE {_SAMPLED} GROUP BY ALL""",
+    "spark_sample_strays": "SELECT cast(0 AS BIGINT) AS strays",
     "slice_union": f"""
         SELECT doc_id, lang, source FROM documents
-        WHERE source = 'src0' OR {_bucket('doc_id')} < cast({q.REST_FRACTION} AS DOUBLE)""",
+        WHERE source = 'src0'
+            OR {_bucket('doc_id', purpose='sample')} < cast({q.REST_FRACTION} AS DOUBLE)""",
     "split_parts": f"""
-        SELECT doc_id, lang, CASE WHEN {_bucket('doc_id')} < cast({q.TRAIN_SHARE} AS DOUBLE)
-            THEN 'train' ELSE 'test' END AS part FROM documents""",
+        SELECT doc_id, lang, CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS part
+        FROM documents""",
     "vocabulary": f"""
         WITH {_docs()}, {_vocabulary('doc_id', 0.2, 8000)}
         SELECT term, term_id, ctf, df, round(idf, 6) AS idf FROM vocab""",
@@ -261,6 +298,20 @@ SQL: dict[str, str] = {
             FROM counts JOIN vocab USING (term))
         SELECT lang, term, tf, round(weight, 6) AS weight, cast(rank AS INT) AS rank
         FROM ranked WHERE rank <= 20""",
+    "keywords_by_slice": f"""
+        WITH {_docs()},
+        counts AS (
+            SELECT lang, source, term, count(*) AS tf
+            FROM (SELECT lang, source, unnest(tokens) AS term FROM docs) GROUP BY ALL),
+        sizes AS (SELECT lang, count(DISTINCT source) AS n FROM docs GROUP BY lang),
+        stats AS (
+            SELECT lang, term, sum(tf) AS ctf, count(*) AS df FROM counts GROUP BY lang, term),
+        vocab AS (
+            SELECT lang, term, ln((n + 1.0) / (df + 1.0)) AS idf
+            FROM stats JOIN sizes USING (lang) WHERE df <= cast(0.7 AS DOUBLE) * n
+            QUALIFY row_number() OVER (PARTITION BY lang ORDER BY ctf DESC, term) <= 3000)
+        SELECT lang, source, term, tf, round(tf * idf, 6) AS weight
+        FROM counts JOIN vocab USING (lang, term) WHERE tf * idf < 3""",
     "token_bag": f"""
         SELECT role, turn, token, count(*) AS n
         FROM (SELECT role, turn, unnest({_tokens('text', 1)}) AS token FROM conversations)
@@ -270,12 +321,9 @@ SQL: dict[str, str] = {
             SELECT * FROM (
                 SELECT conv_id, role, turn, {_tokens('text', 1)} AS tokens FROM conversations)
             WHERE len(tokens) >= 1),
-        sizes AS (
-            SELECT role, turn, greatest(1, ceil(sum(len(tokens)) / {q.CHUNK_TOKENS}.0)) AS chunks
-            FROM said GROUP BY role, turn),
         dealt AS (
-            SELECT *, cast(floor({_bucket('conv_id')} * chunks) AS INT) AS chunk
-            FROM said JOIN sizes USING (role, turn))
+            SELECT *, cast(floor({_bucket('conv_id', purpose='chunk')} * {q.CHUNKS}) AS INT) AS chunk
+            FROM said)
         SELECT role, turn, chunk, cast(sum(len(tokens)) AS BIGINT) AS n_tokens,
                md5(string_agg(array_to_string(tokens, ','), ',' ORDER BY conv_id)) AS tokens_md5
         FROM dealt GROUP BY role, turn, chunk""",
@@ -309,13 +357,18 @@ SQL: dict[str, str] = {
                round(sum(value * m) / (sqrt(sum(value * value)) * sqrt(sum(m * m))), 6) + 0.0
                    AS similarity
         FROM values_of JOIN pooled USING (label, i) GROUP BY vec_id""",
+    "vector_cases": """
+        WITH v AS (SELECT vec_id, cast(embedding AS DOUBLE[]) AS x FROM embeddings)
+        SELECT vec_id, CASE vec_id % 4 WHEN 1 THEN cast(0 AS DOUBLE)
+            WHEN 3 THEN round(list_cosine_similarity(x, list_reverse(x)), 6) + 0.0 END AS similarity
+        FROM v""",
     "drift_by_entity": _drift(),
     "drift_chosen": _drift("WHERE label IN (1, 3, 5, 7)"),
     "drift_joined": _drift(),
-    "drift_overall": f"""{_PERIODS},
-        overall AS (SELECT i, max(pre) AS pre, max(during) AS during FROM sides GROUP BY i)
-        SELECT round(sqrt(sum((pre - during) * (pre - during))), 6) AS euclidean_distance,
-               round(1 - {_COSINE}, 6) + 0.0 AS cosine_distance FROM overall""",
+    "drift_overall": _overall(),
+    "drift_to_nowhere": _overall(q.NEVER),
+    "embedding_means": f"""
+        WITH {_docs()} SELECT count(*) AS n, cast(0 AS BIGINT) AS differing FROM docs""",
     "composition_counts": """
         SELECT quality, lang, source, count(quality) AS n
         FROM documents LEFT JOIN labels USING (doc_id) GROUP BY quality, lang, source""",
@@ -339,6 +392,26 @@ SQL: dict[str, str] = {
     "nb_quality_metrics": _naive_bayes(
         "quality", "(SELECT d.*, l.quality FROM documents d JOIN labels l USING (doc_id))"
     ) + "," + _F1,
+    "svm_labels": f"""
+        WITH {_docs()}
+        SELECT lang AS label, count(*) AS n FROM docs WHERE NOT {_TRAIN} GROUP BY lang""",
+    "sampled_classes": "SELECT *, n AS svm_n FROM (" + _naive_bayes(
+        "lang",
+        f"(SELECT * FROM documents WHERE {_SAMPLED} AND lang IN ({_list(q.CHAIN_LABELS)}))",
+    ) + "," + _F1 + ")",
+    "sampled_clusters": f"""
+        WITH {_docs(source=f"(SELECT * FROM documents WHERE {_SAMPLED})")}
+        SELECT source, lang, count(*) AS n FROM docs GROUP BY source, lang""",
+    "topic_properties": f"""
+        WITH {_docs()}, {_vocabulary('doc_id', 0.2, 8000)}
+        SELECT cast(concept AS INT) AS concept, (SELECT count(*) FROM vocab) AS n_terms,
+               cast(1 AS DOUBLE) AS norm, cast(0 AS DOUBLE) AS overlap,
+               cast(0 AS DOUBLE) AS strength_error
+        FROM range(1, 11) AS concepts(concept)""",
+    "cluster_totals": f"""
+        WITH {_docs()}
+        SELECT source, lang, count(*) AS n FROM docs GROUP BY source, lang""",
+    "silhouette_of_clusters": "SELECT cast(0 AS DOUBLE) AS difference",
     "label_metrics": """
         WITH predictions AS (SELECT toxic AS label, quality AS prediction FROM labels),""" + _F1,
     "confusion": """

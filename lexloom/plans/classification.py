@@ -48,6 +48,7 @@ def classify(
     model: str = "nb",
     keys: Sequence[str] = (),
     labels: Iterable | None = None,
+    # The usual settings of this analysis.
     weights: Sequence[float] = (0.75, 0.25),
     seed: int = 1,
     max_df: float = 0.5,

@@ -40,6 +40,7 @@ def cluster_profile(
     df: DataFrame,
     tokens: str,
     keys: Sequence[str],
+    # The usual settings of this analysis.
     k: int = 4,
     max_df: float = 0.5,
     vocab: int = 2000,

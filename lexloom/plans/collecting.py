@@ -8,10 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions.randomness import bucket
-from lexloom.sources.staging import stage
-
-# Tokens per collected row: some ten megabytes.
-CHUNK_TOKENS = 1_000_000
 
 
 def token_bag(df: DataFrame, keys: Sequence[str], tokens: str) -> DataFrame:
@@ -29,28 +25,18 @@ def collect_by(
     keys: Sequence[str],
     tokens: str,
     row_key: Sequence[str],
-    chunk_tokens: int = CHUNK_TOKENS,
+    chunks: int,
     seed: int = 0,
 ) -> DataFrame:
-    """(keys…, chunk, tokens): the tokens of each group in one array.
+    """(keys…, chunk, tokens): the tokens of each group in `chunks` arrays at most.
 
-    A group of more than `chunk_tokens` tokens is laid out over several rows, numbered by
-    `chunk`, as a row cannot grow without end: its input rows are dealt out by their
-    `row_key`. Such groups are found by a count first; there can only be as many as the
-    table has multiples of `chunk_tokens`. Within a row, tokens follow `row_key`.
+    The input rows of a group are dealt to its arrays by their `row_key`, evenly whatever the
+    group's size; with 1 every group is one array. A row cannot grow without end, so name as
+    many as the largest group needs. Within an array, tokens follow `row_key`.
     """
     rows = df.select(*keys, F.struct(*row_key).alias("_row"), F.col(tokens).alias("_tokens"))
-    sizes = rows.groupBy(*keys).agg(F.sum(F.size("_tokens")).alias("_n"))
-    large = sizes.filter(F.col("_n") > chunk_tokens).select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        F.ceil(F.col("_n") / F.lit(chunk_tokens)).alias("_chunks"),
-    )
-    # As a written table its size is known, so Spark sends it to the executors if it is small.
-    large = stage(large, "large-groups")
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    u = bucket(*[f"_row.{k}" for k in row_key], seed=seed)
-    chunk = F.floor(u * F.coalesce(F.col("_chunks"), F.lit(1))).cast("int")
-    dealt = rows.join(large, same, "left").withColumn("chunk", chunk)
+    u = bucket(*[f"_row.{k}" for k in row_key], purpose="chunk", seed=seed)
+    dealt = rows.withColumn("chunk", F.floor(u * chunks).cast("int"))
     parts = F.sort_array(F.collect_list(F.struct("_row", "_tokens")))
     return dealt.groupBy(*keys, "chunk").agg(
         F.flatten(F.transform(parts, lambda p: p["_tokens"])).alias("tokens")

@@ -47,10 +47,15 @@ def period_vectors(
     )
 
 
-def joined_vectors(pre: DataFrame, during: DataFrame, entity: str, vector: str) -> DataFrame:
-    """(entity, pre, during) from two tables with one pooled vector per entity each."""
+def joined_vectors(
+    pre: DataFrame, during: DataFrame, entity: str, vector: str, how: str = "inner"
+) -> DataFrame:
+    """(entity, pre, during) from two tables with one pooled vector per entity each.
+
+    Entities in one table only are left out, unless `how` asks for an outer join.
+    """
     return pre.select(entity, F.col(vector).alias("pre")).join(
-        during.select(entity, F.col(vector).alias("during")), entity, "full"
+        during.select(entity, F.col(vector).alias("during")), entity, how
     )
 
 
@@ -59,8 +64,7 @@ def drift_by_entity(
 ) -> DataFrame:
     """(entity, similarity): cosine between the periods, for entities seen in both.
 
-    Rows without an entity have none to compare. On `joined_vectors` the filters make
-    Spark plan an inner join.
+    Rows without an entity have none to compare.
     """
     if entities is not None:
         vectors = vectors.filter(F.col(entity).isin(*entities))
@@ -71,7 +75,10 @@ def drift_by_entity(
 
 
 def drift_overall(vectors: DataFrame, dims: int) -> DataFrame:
-    """(euclidean_distance, cosine_distance) between the periods max-pooled over entities."""
+    """(euclidean_distance, cosine_distance) between the periods max-pooled over entities.
+
+    Both are null if a period has no rows.
+    """
     pooled = vectors.agg(
         *pooled_elements("pre", dims, prefix="_pre_"),
         *pooled_elements("during", dims, prefix="_during_"),

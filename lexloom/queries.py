@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexloom import plans
 from lexloom.functions import (
+    clean_tokens,
     cosine_similarity,
     join_tokens,
     parse_date,
@@ -28,6 +30,7 @@ from lexloom.operators import embeddings as emb
 from lexloom.operators import metrics, rows, sampling, terms
 from lexloom.operators.nearest import nearest
 from lexloom.operators.pooling import pool
+from lexloom.plans.topics import term_loadings
 from lexloom.sources import (
     append_csv,
     append_json,
@@ -37,7 +40,6 @@ from lexloom.sources import (
     spread,
     stage,
     with_slice,
-    word_list,
     write_parquet,
 )
 from lexloom.sources.staging import new_path
@@ -48,12 +50,14 @@ MIN_LENGTH = 3
 SEED = 7
 DIMS = 64
 TRAIN_SHARE = 0.75
-PRE, DURING = (0, 249), (250, 2_000_000_000)
+PRE, DURING, NEVER = (0, 0), (1, 1), (5, 5)
 SLICE_FRACTIONS = {"src0": 1.0, "src1": 0.5}
 REST_FRACTION = 0.1
 DRAW_RATE = 0.2
 DRAW_LIMIT = 1000
-CHUNK_TOKENS = 2000
+CHUNKS = 4
+CHAIN_LABELS = ["en", "fr"]
+SMALL_DIMS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,7 +72,8 @@ def _documents(
     """(columns…, tokens) of the documents with at least two tokens."""
     df = _table(spark, sf, "documents", *dict.fromkeys([*columns, "text"]))
     tokens = tokenise("text", MIN_LENGTH)
-    return rows.with_tokens(df, tokens, stop_words=stop_words).select(*columns, "tokens")
+    made = rows.with_tokens(df, tokens, stop_words=stop_words, case_sensitive=True)
+    return made.select(*columns, "tokens")
 
 
 def _r(column, digits: int = 6):
@@ -94,18 +99,24 @@ def row_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def directory_slices(spark: SparkSession, sf: str) -> DataFrame:
-    """Write one directory per language, scan all of it, tell rows apart by their file."""
+    """Write one directory per language, scan all of it, tell rows apart by their file.
+
+    Every file is a slice of its own, also where files of two directories have one name.
+    """
     path = new_path(spark, "by-lang")
     write_parquet(_table(spark, sf, "documents", "doc_id", "lang", "n_chars"), path, by=["lang"])
     scan = with_slice(read_parquet(spark, path))
     per_file = scan.groupBy("lang", "slice").agg(
         F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("n_chars")
     )
-    return per_file.groupBy("lang").agg(
-        F.sum("n").alias("n"),
-        F.sum("n_chars").alias("n_chars"),
-        F.bool_and(F.col("slice").endswith(".parquet")).alias("named"),
+    files = len(scan.inputFiles())
+    slices = per_file.agg(
+        F.count(F.lit(1)).alias("groups"), F.count_distinct("slice").alias("slices")
     )
+    agree = (F.col("slices") == files) & (F.col("groups") == files)
+    by_lang = per_file.groupBy("lang").agg(F.sum("n").alias("n"), F.sum("n_chars").alias("n_chars"))
+    whole = slices.select(F.lit(True).alias("one"), agree.alias("slices_are_files"))
+    return by_lang.withColumn("one", F.lit(True)).join(whole, "one").drop("one")
 
 
 def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,9 +151,9 @@ def stop_list_removal(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "words")
     frequent = terms.term_stats(docs, "tokens").filter(F.col("term").isNotNull())
     frequent.orderBy(F.desc("ctf"), "term").limit(50).select("term").write.text(path)
-    words = word_list(read_words(spark, path))
-    kept = rows.with_tokens(docs, F.col("tokens"), "kept", stop_words=words)
-    return kept.select("doc_id", F.size("kept").cast("long").alias("n_tokens"))
+    words = read_words(spark, path)
+    kept = terms.drop_listed_tokens(docs, ["doc_id"], "tokens", words, min_count=2)
+    return kept.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"))
 
 
 def listed_terms_dropped(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,6 +200,22 @@ def joined_tokens(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def cleaned_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Token arrays as input, some null or empty, with commas and capitals."""
+    docs = _table(spark, sf, "documents", "doc_id", "text")
+    words = F.when(F.col("doc_id") % 10 == 1, F.array().cast("array<string>")).when(
+        F.col("doc_id") % 10 != 0, F.split("text", " ")
+    )
+    docs = docs.select("doc_id", words.alias("words"))
+    kept = rows.with_tokens(docs, F.col("words"), min_length=MIN_LENGTH, stop_words=STOP_WORDS)
+    return kept.select(
+        "doc_id",
+        F.size("tokens").cast("long").alias("n_tokens"),
+        F.md5(join_tokens("tokens", "|")).alias("tokens_md5"),
+        F.md5(join_tokens(clean_tokens("words", MIN_LENGTH), "|")).alias("lowered_md5"),
+    )
+
+
 def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     counts = terms.term_stats(_documents(spark, sf), "tokens")
     return counts.filter(F.col("term").isNotNull())
@@ -199,11 +226,11 @@ def period_numbers(spark: SparkSession, sf: str) -> DataFrame:
     turns = _table(spark, sf, "conversations", "turn", "role")
     word = F.when(F.col("role") == "assistant", "period review ").otherwise("period ")
     text = turns.select("role", F.concat(word, F.col("turn").cast("string")).alias("period"))
-    numbered = text.select("role", period_number("period").alias("clean_period"))
+    numbered = text.select("role", period_number("period").alias("number"))
     return (
-        numbered.groupBy("role", "clean_period")
+        numbered.groupBy("role", "number")
         .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy("clean_period", "role")
+        .orderBy("number", "role")
     )
 
 
@@ -273,6 +300,22 @@ def split_parts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def sampled_split(spark: SparkSession, sf: str) -> DataFrame:
+    """A sample split with the sample's own seed: rows per slice and part."""
+    sampled = sample_slices(spark, sf)
+    parts = sampling.split(sampled, [TRAIN_SHARE, 1 - TRAIN_SHARE], SEED, ["doc_id"])
+    named = [p.withColumn("part", F.lit(n)) for p, n in zip(parts, ("train", "test"))]
+    united = sampling.union_slices(named)
+    return united.groupBy("source", "part").agg(F.count(F.lit(1)).alias("n"))
+
+
+def spark_sample_strays(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows drawn by Spark's samplers that are not in the table."""
+    docs = _table(spark, sf, "documents", "doc_id", "lang")
+    strays = spark_sample(spark, sf).join(docs, ["doc_id", "lang"], "left_anti")
+    return strays.agg(F.count(F.lit(1)).alias("strays"))
+
+
 def spark_sample(spark: SparkSession, sf: str) -> DataFrame:
     """Spark's own samplers, with a seed."""
     docs = _table(spark, sf, "documents", "doc_id", "lang")
@@ -308,6 +351,13 @@ def group_keywords_top(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("lang", "term", "tf", _r("weight").alias("weight"), "rank")
 
 
+def keywords_by_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """Keywords of each source, every language being a corpus of its own."""
+    docs = _documents(spark, sf, "lang", "source")
+    found = plans.group_keywords(docs, "source", "tokens", slice="lang")
+    return found.select("lang", "source", "term", "tf", _r("weight").alias("weight"))
+
+
 def token_bag(spark: SparkSession, sf: str) -> DataFrame:
     """The tokens of each role and period with their number."""
     turns = _table(spark, sf, "conversations", "role", "turn", "text")
@@ -316,11 +366,11 @@ def token_bag(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def collect_by(spark: SparkSession, sf: str) -> DataFrame:
-    """All tokens of each role and period in arrays, large groups in several."""
+    """All tokens of each role and period, dealt over four arrays."""
     turns = _table(spark, sf, "conversations", "conv_id", "role", "turn", "text")
     said = rows.with_tokens(turns, tokenise("text"), min_count=1)
     found = plans.collect_by(
-        said, ["role", "turn"], "tokens", ["conv_id"], chunk_tokens=CHUNK_TOKENS, seed=SEED
+        said, ["role", "turn"], "tokens", ["conv_id"], chunks=CHUNKS, seed=SEED
     )
     return found.select(
         "role",
@@ -337,7 +387,7 @@ def sampled_tokens(spark: SparkSession, sf: str) -> DataFrame:
     drawn = sampling.sample_with_replacement(turns, DRAW_RATE, SEED, ["conv_id", "turn"])
     drawn = sampling.first_rows(drawn, DRAW_LIMIT, ["conv_id", "turn", "copy"])
     said = rows.with_tokens(drawn, tokenise("text"), min_count=1)
-    found = plans.collect_by(said, ["role", "turn"], "tokens", ["conv_id", "copy"])
+    found = plans.collect_by(said, ["role", "turn"], "tokens", ["conv_id", "copy"], chunks=1)
     return found.select("role", "turn", F.md5(join_tokens("tokens")).alias("tokens_md5"))
 
 
@@ -385,9 +435,27 @@ def similarity_to_label(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("vec_id", _r(cosine_similarity(own, "mean")).alias("similarity"))
 
 
-def _period_vectors(spark: SparkSession, sf: str) -> DataFrame:
+def vector_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """Cosine of every vector with null, zeros, a shorter vector, or its own reverse."""
+    own = F.col("embedding").cast("array<double>")
+    case = F.col("vec_id") % 4
+    other = (
+        F.when(case == 1, F.transform(own, lambda x: x * 0.0))
+        .when(case == 2, F.slice(own, 1, 10))
+        .when(case == 3, F.reverse(own))
+    )
+    vectors = _vectors(spark, sf).select("vec_id", own.alias("own"), other.alias("other"))
+    return vectors.select("vec_id", _r(cosine_similarity("own", "other")).alias("similarity"))
+
+
+def _dated_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Every other vector belongs to the first period, the others to the second."""
+    return _vectors(spark, sf).withColumn("period", F.col("vec_id") % 2)
+
+
+def _period_vectors(spark: SparkSession, sf: str, during: tuple = DURING) -> DataFrame:
     return plans.period_vectors(
-        _vectors(spark, sf), "label", "embedding", "vec_id", PRE, DURING, DIMS
+        _dated_vectors(spark, sf), "label", "embedding", "period", PRE, during, DIMS
     )
 
 
@@ -403,9 +471,9 @@ def drift_chosen(spark: SparkSession, sf: str) -> DataFrame:
 
 def drift_joined(spark: SparkSession, sf: str) -> DataFrame:
     """The same from two tables, one per period, joined by entity."""
-    vectors = _vectors(spark, sf)
+    vectors = _dated_vectors(spark, sf)
     pre, during = (
-        pool(rows.within(vectors, "vec_id", *period), ["label"], "embedding", DIMS)
+        pool(rows.within(vectors, "period", *period), ["label"], "embedding", DIMS)
         for period in (PRE, DURING)
     )
     both = plans.joined_vectors(pre, during, "label", "embedding")
@@ -421,6 +489,35 @@ def drift_overall(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def drift_to_nowhere(spark: SparkSession, sf: str) -> DataFrame:
+    """No distance to a period without rows."""
+    found = plans.drift_overall(_period_vectors(spark, sf, NEVER), DIMS)
+    return found.select(
+        _r("euclidean_distance").alias("euclidean_distance"),
+        _r("cosine_distance").alias("cosine_distance"),
+    )
+
+
+def embedding_means(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents, and those whose vector is not the mean of their words' vectors."""
+    docs = stage(_documents(spark, sf, "doc_id"), "doc-tokens")
+    model = emb.fit_embedding(docs, "tokens", SEED, dims=SMALL_DIMS)
+    words = model.getVectors().select(
+        F.col("word").alias("token"), F.posexplode(vector_to_array("vector")).alias("i", "value")
+    )
+    tokens = docs.select("doc_id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    means = tokens.join(words, "token").groupBy("doc_id", "i").agg(
+        (F.sum("value") / F.first("n")).alias("mean")
+    )
+    embedded = emb.embed(docs, model, "tokens").select(
+        "doc_id", F.posexplode("embedding").alias("i", "value")
+    )
+    both = embedded.join(means, ["doc_id", "i"], "left")
+    off = F.abs(F.col("value") - F.coalesce("mean", F.lit(0.0))) > 1e-5
+    by_doc = both.groupBy("doc_id").agg(F.bool_or(off).alias("off"))
+    return by_doc.agg(F.count(F.lit(1)).alias("n"), F.count_if("off").alias("differing"))
+
+
 def word2vec_nearest(spark: SparkSession, sf: str) -> DataFrame:
     """Train and save a model, embed with the saved one, find the most similar sources."""
     docs = stage(_documents(spark, sf, "doc_id", "source"), "doc-tokens")
@@ -516,6 +613,44 @@ def nb_quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("n", _r("accuracy").alias("accuracy"), _r("f1").alias("f1"))
 
 
+def svm_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Test rows per label of the support vector machine."""
+    found = _lang_classes(spark, sf, "svm").predictions.filter(F.col("prediction").isNotNull())
+    return found.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _sampled_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Sampled slices with their tokens, written once for the models that read them."""
+    docs = _table(spark, sf, "documents", "doc_id", "lang", "source", "text")
+    sampled = sampling.sample_slices(
+        docs, "source", SLICE_FRACTIONS, REST_FRACTION, SEED, ["doc_id"]
+    )
+    tokens = tokenise("text", MIN_LENGTH)
+    made = rows.with_tokens(sampled, tokens, stop_words=STOP_WORDS, case_sensitive=True)
+    return stage(made.drop("text"), "sampled-tokens")
+
+
+def sampled_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Sampled slices, two labels, both models: naive Bayes by its metrics, the other's rows."""
+    docs = _sampled_tokens(spark, sf)
+    nb, svm = (
+        plans.classify(
+            docs, "lang", "tokens", model, keys=["doc_id"], labels=CHAIN_LABELS, seed=SEED
+        )
+        for model in ("nb", "svm")
+    )
+    found = nb.metrics().select("n", _r("accuracy").alias("accuracy"), _r("f1").alias("f1"))
+    return found.join(svm.metrics().select(F.col("n").alias("svm_n")), F.col("n") == F.col("svm_n"))
+
+
+def sampled_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """Sampled slices clustered: rows per source and language, summed over the clusters."""
+    docs = _sampled_tokens(spark, sf)
+    profile = plans.cluster_profile(docs, "tokens", ["source", "lang"])
+    counts = profile.composition(["source", "lang"])
+    return counts.groupBy("source", "lang").agg(F.sum("n").alias("n"))
+
+
 def svm_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return _lang_classes(spark, sf, "svm").metrics()
 
@@ -540,6 +675,80 @@ def topics_by_lang(spark: SparkSession, sf: str) -> DataFrame:
     return plans.topics(_documents(spark, sf, "lang"), "tokens", slice="lang")
 
 
+def topic_properties(spark: SparkSession, sf: str) -> DataFrame:
+    """Per concept: its norm, its largest product with another, and how far the length of the
+    projected documents is from its singular value, all worked out relationally."""
+    docs = stage(_documents(spark, sf, "doc_id"), "doc-tokens")
+    loadings = stage(term_loadings(docs, "tokens", 10, 0.2, 8000), "loadings")
+    fitted = terms.fit_vocabulary(docs, "tokens", 0.2, 8000)
+    weighted = terms.tfidf_rows(terms.term_rows(docs, ["doc_id"], "tokens"), fitted)
+    weighted = weighted.select("doc_id", "term", F.col("weight").alias("x"))
+    projected = weighted.join(loadings, "term").groupBy("doc_id", "concept").agg(
+        F.sum(F.col("x") * F.col("weight")).alias("y")
+    )
+    lengths = projected.groupBy("concept").agg(F.sqrt(F.sum(F.col("y") ** 2)).alias("length"))
+    others = loadings.select("term", F.col("concept").alias("other"), F.col("weight").alias("w"))
+    products = loadings.join(others, "term").groupBy("concept", "other").agg(
+        F.sum(F.col("weight") * F.col("w")).alias("p")
+    )
+    own = F.col("concept") == F.col("other")
+    shape = products.groupBy("concept").agg(
+        F.max(F.when(own, F.col("p"))).alias("norm"),
+        F.max(F.when(~own, F.abs("p"))).alias("overlap"),
+    )
+    strengths = loadings.groupBy("concept").agg(
+        F.max("singular_value").alias("strength"), F.count(F.lit(1)).alias("n_terms")
+    )
+    joined = strengths.join(shape, "concept").join(lengths, "concept")
+    return joined.select(
+        "concept",
+        "n_terms",
+        F.round("norm", 6).alias("norm"),
+        F.round("overlap", 6).alias("overlap"),
+        F.round(F.abs(F.col("length") / F.col("strength") - 1.0), 6).alias("strength_error"),
+    )
+
+
+def cluster_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per source and language, summed over the clusters."""
+    counts = cluster_members(spark, sf)
+    return counts.groupBy("source", "lang").agg(F.sum("n").alias("n"))
+
+
+def silhouette_of_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """How far the silhouette of fitted clusters is from one worked out relationally."""
+    profile = plans.cluster_profile(_documents(spark, sf, "doc_id"), "tokens", ["doc_id"])
+    assigned = stage(profile.assigned, "assigned")
+    values = assigned.select(
+        "doc_id", "cluster", F.posexplode(vector_to_array("features")).alias("i", "x")
+    ).filter("x != 0")
+    square = values.groupBy("doc_id").agg(F.sum(F.col("x") ** 2).alias("square"))
+    docs = assigned.select("doc_id", "cluster").join(square, "doc_id", "left").na.fill(0.0)
+    sizes = docs.groupBy(F.col("cluster").alias("other")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("square").alias("squares")
+    )
+    sums = values.groupBy(F.col("cluster").alias("other"), "i").agg(F.sum("x").alias("s"))
+    dots = values.join(sums, "i").groupBy("doc_id", "other").agg(
+        F.sum(F.col("x") * F.col("s")).alias("dot")
+    )
+    clusters = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("other")
+    pairs = docs.select("*", clusters).join(sizes, "other").join(dots, ["doc_id", "other"], "left")
+    total = F.col("n") * F.col("square") + F.col("squares") - 2 * F.coalesce("dot", F.lit(0.0))
+    own = F.col("cluster") == F.col("other")
+    sides = pairs.groupBy("doc_id").agg(
+        F.max(F.when(own, F.col("n"))).alias("own_n"),
+        F.max(F.when(own & (F.col("n") > 1), total / (F.col("n") - 1))).alias("own"),
+        F.min(F.when(~own, total / F.col("n"))).alias("near"),
+    )
+    each = F.when(F.col("own_n") == 1, 0.0).otherwise(
+        (F.col("near") - F.col("own")) / F.greatest("near", "own")
+    )
+    mean = sides.agg(F.avg(each).alias("mean")).withColumn("one", F.lit(1))
+    found = profile.quality().withColumn("one", F.lit(1))
+    difference = F.round(F.abs(F.col("mean") - F.col("silhouette")), 6)
+    return found.join(mean, "one").select(difference.alias("difference"))
+
+
 def cluster_members(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per cluster, source and language."""
     docs = _documents(spark, sf, "source", "lang")
@@ -565,6 +774,7 @@ QUERIES: dict[str, Query] = {
         complete_labels,
         shrunk_text,
         joined_tokens,
+        cleaned_arrays,
         token_counts,
         period_numbers,
         years,
@@ -575,11 +785,14 @@ QUERIES: dict[str, Query] = {
         sample_slices,
         slice_union,
         split_parts,
+        sampled_split,
         spark_sample,
+        spark_sample_strays,
         vocabulary,
         tfidf_terms,
         group_keywords_below,
         group_keywords_top,
+        keywords_by_slice,
         token_bag,
         collect_by,
         sampled_tokens,
@@ -589,10 +802,13 @@ QUERIES: dict[str, Query] = {
         nearest_k,
         most_similar_labels,
         similarity_to_label,
+        vector_cases,
         drift_by_entity,
         drift_chosen,
         drift_joined,
         drift_overall,
+        drift_to_nowhere,
+        embedding_means,
         word2vec_nearest,
         leaders_drift,
         composition_counts,
@@ -602,11 +818,17 @@ QUERIES: dict[str, Query] = {
         nb_metrics,
         nb_quality_metrics,
         svm_metrics,
+        svm_labels,
+        sampled_classes,
+        sampled_clusters,
         label_metrics,
         confusion,
         topics,
         topics_by_lang,
+        topic_properties,
         cluster_members,
+        cluster_totals,
         cluster_quality,
+        silhouette_of_clusters,
     )
 }

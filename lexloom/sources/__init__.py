@@ -6,7 +6,6 @@ from lexloom.sources.readers import (
     read_words,
     spread,
     with_slice,
-    word_list,
 )
 from lexloom.sources.sinks import append_csv, append_json, write_parquet
 from lexloom.sources.staging import Staging, shared_dir, stage
@@ -22,6 +21,5 @@ __all__ = [
     "spread",
     "stage",
     "with_slice",
-    "word_list",
     "write_parquet",
 ]

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A word list is typed by people; beyond this it is handled as a table, by anti-join.
-MAX_LITERAL_WORDS = 100_000
+SCAN_PARTITIONS = "spark.lexloom.scanPartitions"
 
 
 def read_parquet(
@@ -47,27 +46,16 @@ def read_words(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(word.alias("word")).filter(F.length("word") > 0)
 
 
-def word_list(words: DataFrame, limit: int = MAX_LITERAL_WORDS) -> list[str]:
-    """The words as Python strings, for lists whose size is checked to be small."""
-    rows = words.select("word").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(
-            f"more than {limit} words: use drop_listed_terms, which joins the list as a table"
-        )
-    return sorted(row.word for row in rows)
-
-
 def with_slice(df: DataFrame, name: str = "slice") -> DataFrame:
-    """Add the name of the input file each row came from. Use directly on a scan."""
-    return df.withColumn(name, F.col("_metadata.file_name"))
+    """Add the path of the input file each row came from. Use directly on a scan."""
+    return df.withColumn(name, F.col("_metadata.file_path"))
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than cores one partition per core.
+    """Deal a scan over the number of partitions that the session names, if it names one.
 
-    Fewer splits than cores means the input holds less than one split per core, so the
-    shuffle is small whatever the cluster. A large scan has splits enough and is left as
-    it is.
+    A table of few row groups is read by few tasks, whatever the split size; where that is
+    known to matter, set `spark.lexloom.scanPartitions`. Without it the scan is left as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    named = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(named)) if named else df

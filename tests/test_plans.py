@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from lexloom import queries as q
 from lexloom.operators import embeddings as emb
 from lexloom.operators.metrics import f1_accuracy
+from lexloom.operators.sampling import sample
 from lexloom.operators.terms import fit_vocabulary, tfidf_vectors
-from lexloom.plans import classify, cluster_profile, collect_by, topics
+from lexloom.plans import classify, cluster_profile, collect_by, group_keywords, topics
 from lexloom.plans.topics import term_loadings
-from lexloom.sources import stage
+from lexloom.sources import read_parquet, stage, with_slice
 
 
 @pytest.fixture(scope="module")
@@ -127,12 +128,12 @@ def test_f1_of_labels_never_predicted(spark):
     assert found.f1 == pytest.approx((2 * (2 / 3) + 0) / 3)
 
 
-def test_collect_by_gives_one_row_per_small_group(spark):
+def test_collect_by_gives_one_row_per_group(spark):
     df = spark.createDataFrame(
         [(2, "a", ["y"]), (1, "a", ["x", "x"]), (3, "b", ["z"]), (4, None, ["n"])],
         "id int, g string, t array<string>",
     )
-    found = collect_by(df, ["g"], "t", ["id"]).collect()
+    found = collect_by(df, ["g"], "t", ["id"], chunks=1).collect()
     assert {r.g: (r.chunk, r.tokens) for r in found} == {
         "a": (0, ["x", "x", "y"]),
         "b": (0, ["z"]),
@@ -140,20 +141,43 @@ def test_collect_by_gives_one_row_per_small_group(spark):
     }
 
 
-def test_collect_by_splits_large_groups_and_loses_nothing(spark):
+def test_collect_by_deals_every_group_alike_and_loses_nothing(spark):
     df = spark.range(3000).select(
         "id",
         F.when(F.col("id") % 3 == 0, F.concat(F.lit("g"), F.col("id") % 100)).alias("g"),
         F.array(F.col("id").cast("string"), F.lit("w")).alias("t"),
     )
-    found = collect_by(df, ["g"], "t", ["id"], chunk_tokens=500).cache()
-    sizes = found.groupBy("g").agg(F.count("*").alias("rows"), F.sum(F.size("tokens")).alias("n"))
-    by_group = {r.g: (r.rows, r.n) for r in sizes.collect()}
-    assert by_group.pop(None) == (8, 4000)
-    assert set(by_group.values()) == {(1, 20)}
-    assert found.agg(F.max(F.size("tokens"))).first()[0] < 700
+    sampled = sample(df, 0.5, 7, ["id"])
+    found = collect_by(sampled, ["g"], "t", ["id"], chunks=4, seed=7).cache()
+    of_null = [r.n for r in found.filter("g IS NULL").select(F.size("tokens").alias("n")).collect()]
+    assert len(of_null) == 4 and max(of_null) < 2 * min(of_null)
+    assert found.agg(F.max("chunk")).first()[0] == 3
     ids = found.select(F.explode("tokens").alias("t")).filter("t <> 'w'")
-    assert ids.distinct().count() == ids.count() == 3000
+    assert ids.distinct().count() == ids.count() == sampled.count()
+
+
+def test_slices_may_be_null_or_empty(spark):
+    rows = [(s, t) for s in ("", None, "x") for t in (["a", "b"], ["a", "c", "c"], ["b", "c"])]
+    df = spark.createDataFrame(rows, "s string, tokens array<string>")
+    found = topics(df, "tokens", k=2, terms=2, max_df=4, vocab=9, slice="s").collect()
+    assert {r.s for r in found} == {"", None, "x"}
+    weights = {s: [r.weight for r in found if r.s == s] for s in ("", None, "x")}
+    assert weights[""] == pytest.approx(weights["x"])
+    assert weights[None] == pytest.approx(weights["x"])
+    df = df.withColumn("g", F.concat_ws("-", "tokens"))
+    words = group_keywords(df, "g", "tokens", max_df=9, below=None, slice="s").collect()
+    by_slice = {s: sorted((r.g, r.term, r.weight) for r in words if r.s == s) for s in ("", None, "x")}
+    assert by_slice[""] == by_slice[None] == by_slice["x"] != []
+
+
+def test_topics_by_file(spark, tmp_path):
+    rows = [(["a", "b"],), (["a", "c", "c"],), (["b", "c"],), (["d", "a"],)]
+    df = spark.createDataFrame(rows, "tokens array<string>").coalesce(1)
+    for _ in range(2):
+        df.write.mode("append").parquet(str(tmp_path / "t"))
+    scan = with_slice(read_parquet(spark, str(tmp_path / "t")), "file")
+    found = topics(scan, "tokens", k=1, terms=2, max_df=4, vocab=9, slice="file")
+    assert found.count() == 4 and found.select("file").distinct().count() == 2
 
 
 def test_embedding(spark, docs, tmp_path):
@@ -166,13 +190,10 @@ def test_embedding(spark, docs, tmp_path):
     assert a == b and all(len(r.embedding) == 20 for r in a)
 
 
-def test_embedding_words_are_bounded(spark):
+def test_embedding_keeps_every_word_often_enough(spark):
     df = spark.createDataFrame(
         [(["a"] * 9 + ["b"] * 5 + ["c"] * 4 + ["d"],)], "tokens array<string>"
     )
-    assert emb.rarest_kept(df, "tokens", 10, 1) == 1
-    assert emb.rarest_kept(df, "tokens", 3, 1) == 2
-    assert emb.rarest_kept(df, "tokens", 1, 1) == 8
-    assert emb.rarest_kept(df, "tokens", 1, 6) == 6
-    model = emb.fit_embedding(df, "tokens", seed=1, dims=4, min_count=1, max_words=3)
-    assert {r.word for r in model.getVectors().collect()} == {"a", "b", "c"}
+    for least, words in ((1, {"a", "b", "c", "d"}), (5, {"a", "b"})):
+        model = emb.fit_embedding(df, "tokens", seed=1, dims=4, min_count=least)
+        assert {r.word for r in model.getVectors().collect()} == words

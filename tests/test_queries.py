@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_point
+from lexloom.oracles import SQL
+from lexloom.queries import QUERIES
 from tests.compare import connect, differences
 
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
 WITHOUT_SQL = {
     "spark_sample",
     "word2vec_nearest",
@@ -27,7 +28,8 @@ def con(sf):
 
 def test_only_models_and_samplers_lack_sql():
     assert set(QUERIES) - set(SQL) == WITHOUT_SQL
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -40,11 +40,20 @@ def test_rates(rows):
     assert sample(rows, 0.0, 1, ["id"]).count() == 0
 
 
-def test_keyed_copies_are_bounded(rows):
+def test_keyed_copies_at_any_mean(rows):
     assert sample_with_replacement(rows, 0.0, 1, ["id"]).count() == 0
-    assert sample_with_replacement(rows, 3.0, 1, ["id"]).count() == pytest.approx(3 * N, rel=0.05)
+    few = rows.limit(500)
+    for mean in (3.0, 60.0, 2000.0):
+        assert sample_with_replacement(few, mean, 1, ["id"]).count() == pytest.approx(500 * mean, rel=0.05)
     with pytest.raises(ValueError):
-        sample_with_replacement(rows, 1000.0, 1, ["id"])
+        sample_with_replacement(rows, -1.0, 1, ["id"])
+
+
+def test_a_sample_can_be_split_with_its_own_seed(rows):
+    sampled = sample(rows, 0.1, 7, ["id"])
+    train, test = (p.count() for p in split(sampled, [0.75, 0.25], 7, ["id"]))
+    assert train + test == sampled.count()
+    assert test / (train + test) == pytest.approx(0.25, abs=0.03)
 
 
 def test_the_same_seed_gives_the_same_rows(rows):

@@ -3,7 +3,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from lexloom.operators.terms import fit_vocabulary
+from lexloom.plans import topics
 from lexloom.sources import (
+    Staging,
     append_csv,
     append_json,
     read_csv,
@@ -13,9 +16,9 @@ from lexloom.sources import (
     spread,
     stage,
     with_slice,
-    word_list,
     write_parquet,
 )
+from lexloom.sources.staging import application_dir
 
 
 def test_csv_without_a_schema_is_all_text(spark, tmp_path):
@@ -74,21 +77,30 @@ def test_slices_are_files(spark, tmp_path):
     assert sorted(r["count"] for r in sizes) == [10, 10, 10]
 
 
-def test_spread_leaves_large_scans_alone(spark, sf):
-    cores = spark.sparkContext.defaultParallelism
-    small = read_parquet(spark, f"{sf}/documents.parquet", ["doc_id"])
-    assert spread(small).rdd.getNumPartitions() == cores
-    wide = spark.range(100).repartition(cores + 1)
-    assert spread(wide) is wide
+def test_spread_only_as_the_session_says(spark):
+    df = spark.range(100).repartition(3)
+    assert spread(df) is df
+    spark.conf.set("spark.lexloom.scanPartitions", "5")
+    try:
+        assert spread(df).rdd.getNumPartitions() == 5
+    finally:
+        spark.conf.unset("spark.lexloom.scanPartitions")
 
 
 def test_words(spark, tmp_path):
     path = tmp_path / "stop.txt"
     path.write_text("the\n and \n\nthe\n")
-    words = read_words(spark, str(path))
-    assert word_list(words) == ["and", "the"]
-    with pytest.raises(ValueError):
-        word_list(words, limit=1)
+    assert sorted(r.word for r in read_words(spark, str(path)).collect()) == ["and", "the", "the"]
+
+
+def test_files_of_one_name_are_different_slices(spark, tmp_path):
+    for folder in ("a", "b"):
+        spark.range(3).coalesce(1).write.parquet(str(tmp_path / folder))
+        part = next((tmp_path / folder).glob("part-*.parquet"))
+        part.rename(tmp_path / folder / "same.parquet")
+    paths = [str(tmp_path / folder / "same.parquet") for folder in ("a", "b")]
+    found = with_slice(read_parquet(spark, paths)).groupBy("slice").count().collect()
+    assert sorted(r["slice"].rsplit("/", 2)[1] for r in found) == ["a", "b"]
 
 
 def test_staged_tables_lie_in_the_folder_the_session_names(spark):
@@ -103,22 +115,35 @@ def test_staged_tables_lie_in_the_folder_the_session_names(spark):
 class _Session:
     """A session without a checkpoint folder."""
 
-    def __init__(self, master: str):
-        self.conf = {}
+    def __init__(self):
+        self.conf = {"spark.sql.warehouse.dir": "file:/shared/warehouse/"}
         self.sparkContext = self
-        self.master = master
-        self.folder = None
 
     def getCheckpointDir(self):
-        return self.folder
+        return None
+
+
+def test_without_a_folder_the_warehouse_is_used():
+    assert shared_dir(_Session()) == "file:/shared/warehouse"
+
 
-    def setCheckpointDir(self, folder):
-        self.folder = folder
+def _staged(spark) -> set[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in system.listStatus(path)} if system.exists(path) else set()
 
 
-def test_no_folder_of_one_machine_on_a_cluster(tmp_path, monkeypatch):
-    with pytest.raises(ValueError):
-        shared_dir(_Session("yarn"))
-    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
-    local = _Session("local[2]")
-    assert shared_dir(local).startswith(str(tmp_path)) and shared_dir(local) == local.folder
+def test_plans_with_bounded_results_leave_no_tables(spark):
+    before = _staged(spark)
+    with Staging(spark) as staging:
+        one, two = (staging.write(spark.range(n), "t") for n in (2, 3))
+        assert len(_staged(spark) - before) == 2 and one.count() + two.count() == 5
+        staging.drop(one)
+        assert len(_staged(spark) - before) == 1
+    assert _staged(spark) == before
+    rows = [("x", ["a", "b"]), ("x", ["a", "c", "c"]), ("y", ["b", "c"]), ("y", ["b", "d"])]
+    df = spark.createDataFrame(rows, "s string, tokens array<string>")
+    assert fit_vocabulary(df, "tokens", 4, 9).terms
+    assert topics(df, "tokens", k=1, max_df=4).count() > 0
+    assert topics(df, "tokens", k=1, max_df=4, slice="s").count() > 0
+    assert _staged(spark) == before
