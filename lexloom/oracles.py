@@ -16,7 +16,8 @@ def _bucket(*keys: str, purpose: str, seed: int = q.SEED) -> str:
     """The first 32 bits of a digest, as a share of their range."""
     parts = ", ".join(f"coalesce(cast({k} AS VARCHAR), '')" for k in keys)
     digest = f"md5(concat_ws(':', '{purpose}', '{seed}', {parts}))"
-    return f"(cast('0x' || substr({digest}, 1, 8) AS BIGINT) / cast(4294967296 AS DOUBLE))"
+    number = f"cast('0x' || substr({digest}, 1, 8) AS BIGINT)"
+    return f"({number} / cast(4294967296 AS DOUBLE))"
 
 
 def _copies(u: str, mean: float) -> str:
@@ -113,8 +114,9 @@ _F1 = """
 _DRAWN = f"""
     drawn AS (
         SELECT * FROM (
-            SELECT *, unnest(generate_series(1, {_copies(_bucket('conv_id', 'turn', purpose='copies'), q.DRAW_RATE)}))
-                AS copy FROM conversations)
+            SELECT *, unnest(generate_series(1,
+                {_copies(_bucket('conv_id', 'turn', purpose='copies'), q.DRAW_RATE)})) AS copy
+            FROM conversations)
         ORDER BY conv_id, turn, copy LIMIT {q.DRAW_LIMIT})"""
 
 _LONG_VECTORS = """
@@ -322,7 +324,8 @@ SQL: dict[str, str] = {
                 SELECT conv_id, role, turn, {_tokens('text', 1)} AS tokens FROM conversations)
             WHERE len(tokens) >= 1),
         dealt AS (
-            SELECT *, cast(floor({_bucket('conv_id', purpose='chunk')} * {q.CHUNKS}) AS INT) AS chunk
+            SELECT *, cast(floor(
+                {_bucket('conv_id', purpose='chunk')} * {q.CHUNKS}) AS INT) AS chunk
             FROM said)
         SELECT role, turn, chunk, cast(sum(len(tokens)) AS BIGINT) AS n_tokens,
                md5(string_agg(array_to_string(tokens, ','), ',' ORDER BY conv_id)) AS tokens_md5
@@ -360,7 +363,8 @@ SQL: dict[str, str] = {
     "vector_cases": """
         WITH v AS (SELECT vec_id, cast(embedding AS DOUBLE[]) AS x FROM embeddings)
         SELECT vec_id, CASE vec_id % 4 WHEN 1 THEN cast(0 AS DOUBLE)
-            WHEN 3 THEN round(list_cosine_similarity(x, list_reverse(x)), 6) + 0.0 END AS similarity
+            WHEN 3 THEN round(list_cosine_similarity(x, list_reverse(x)), 6) + 0.0 END
+            AS similarity
         FROM v""",
     "drift_by_entity": _drift(),
     "drift_chosen": _drift("WHERE label IN (1, 3, 5, 7)"),

@@ -29,8 +29,8 @@ def group_keywords(
     """(group, term, tf, weight): tf-idf over groups, all rows of a group being one document.
 
     With `slice` each of its values, null among them, is a corpus of its own, with its own
-    vocabulary, and the first column. `below` keeps the terms whose weight is under it; `top` keeps that many terms of
-    highest weight per group, ties in alphabetical order.
+    vocabulary, and the first column. `below` keeps the terms whose weight is under it; `top`
+    keeps that many terms of highest weight per group, ties in alphabetical order.
     """
     keys = [group] if slice is None else [slice, group]
     counts = stage(group_term_rows(df, keys, tokens), "group-terms")

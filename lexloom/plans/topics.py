@@ -124,8 +124,9 @@ def topics(
             raise ValueError(f"there are more than {MOST_SLICES} slices")
 
         def one(row) -> dict[str, list]:
-            own = F.col("_folder").eqNullSafe(F.lit(row[0])) & F.col(slice).eqNullSafe(F.lit(row[1]))
-            return _concepts(staged.filter(own), tokens, k, max_df, vocab).rows(terms)
+            own = F.col(slice).eqNullSafe(F.lit(row[1]))
+            part = staged.filter(F.col("_folder").eqNullSafe(F.lit(row[0])) & own)
+            return _concepts(part, tokens, k, max_df, vocab).rows(terms)
 
         with ThreadPool(min(parallelism, len(slices))) as pool:
             parts = pool.map(inheritable_thread_target(spark)(one), slices)

@@ -166,7 +166,9 @@ def test_slices_may_be_null_or_empty(spark):
     assert weights[None] == pytest.approx(weights["x"])
     df = df.withColumn("g", F.concat_ws("-", "tokens"))
     words = group_keywords(df, "g", "tokens", max_df=9, below=None, slice="s").collect()
-    by_slice = {s: sorted((r.g, r.term, r.weight) for r in words if r.s == s) for s in ("", None, "x")}
+    by_slice = {
+        s: sorted((r.g, r.term, r.weight) for r in words if r.s == s) for s in ("", None, "x")
+    }
     assert by_slice[""] == by_slice[None] == by_slice["x"] != []
 
 

@@ -130,7 +130,8 @@ def test_without_a_folder_the_warehouse_is_used():
 def _staged(spark) -> set[str]:
     path = spark._jvm.org.apache.hadoop.fs.Path(application_dir(spark))
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return {s.getPath().getName() for s in system.listStatus(path)} if system.exists(path) else set()
+    found = system.listStatus(path) if system.exists(path) else []
+    return {s.getPath().getName() for s in found}
 
 
 def test_plans_with_bounded_results_leave_no_tables(spark):
