@@ -21,15 +21,24 @@ import lexloom
 REMEMBERED_LENGTH = 64
 # Chunks a worker remembers; beyond, it starts again with none. Bounds memory, not results.
 REMEMBERED = 300_000
-# Rows handed to a function at once; an Arrow batch is cut into so many.
-ROWS_AT_ONCE = 4096
+# Rows handed to a function at once, if it does not ask for more.
+ROWS_AT_ONCE = 1024
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Texts are large rows: of Spark's 10,000 in a batch, a few batches fill a small executor.
+BATCH_ROWS, USUAL_BATCH_ROWS = "4096", "10000"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable by the executors' Python workers, as --py-files does."""
+    """Make this package importable by the executors' Python workers, as --py-files does.
+
+    Also have the session send them smaller batches, unless it names a size of its own.
+    """
+    if spark.conf.get(ARROW_ROWS) == USUAL_BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, BATCH_ROWS)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(lexloom.__file__).parent
@@ -52,12 +61,14 @@ def map_columns(
     inputs: Sequence[str],
     keep: Sequence[str],
     outputs: str,
+    rows: int = ROWS_AT_ONCE,
 ) -> DataFrame:
     """`keep` as it is, then the columns `outputs` made from the columns `inputs`.
 
     `make` runs once per task and returns the function from lists of input values to one
     list (or Arrow array) per output column. No other column of `df` is read, so clashing
-    names do not matter, unless a kept column has the name of an output.
+    names do not matter, unless a kept column has the name of an output. The function gets
+    `rows` rows at once at most.
     """
     ship(df.sparkSession)
     made = T.StructType.fromDDL(outputs)
@@ -70,7 +81,7 @@ def map_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in _cut(batches):
+        for batch in _cut(batches, rows):
             columns = [batch.column(n + i).to_pylist() for i in range(len(inputs))]
             new = [
                 x.cast(kind) if isinstance(x, pa.Array) else pa.array(x, type=kind)
@@ -84,10 +95,21 @@ def map_columns(
     return df.select(*read).mapInArrow(run, schema)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; memory of one that is done with goes back to the system.
+
+    Workers live on between tasks, and what they keep is missing beside the executor's heap.
+    """
     for batch in batches:
-        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(start, ROWS_AT_ONCE)
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+def _cut(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in released(batches):
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 class Chunks:

@@ -25,6 +25,8 @@ from lexloom.llm.batches import Chunks, blank_chunks, chunk_text, map_columns
 
 WORD_BITS = 6  # of a rank, for each level of the bitmap
 WORD_MASK = (1 << WORD_BITS) - 1
+# Texts whose new pre-tokens are merged together: the more, the fewer rounds per pre-token.
+ROWS_AT_ONCE = 4096
 # Bytes merged together, in whole pre-tokens: bounds a worker's memory to about 100 MB.
 BYTES_AT_ONCE = 2_000_000
 
@@ -248,7 +250,7 @@ def encode(
         return work
 
     outputs = "ids binary, n_tokens bigint" + ", decoded binary" * decoded
-    return map_columns(docs, make, [text], keep, outputs)
+    return map_columns(docs, make, [text], keep, outputs, ROWS_AT_ONCE)
 
 
 def decode(

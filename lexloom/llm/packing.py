@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
-from lexloom.llm.batches import Chunks, map_columns, quoted, ship
+from lexloom.llm.batches import Chunks, map_columns, quoted, released, ship
 from lexloom.llm.token_counts import byte_characters
 from lexloom.sources import Staging, stage
 
@@ -218,7 +218,7 @@ def _with_columns(df: DataFrame, make, outputs: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in released(batches):
             if batch.num_rows:
                 old = [batch.column(i).cast(arrow.field(i).type) for i in range(batch.num_columns)]
                 new = [pa.array(values) for values in work(batch)]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.batches import map_columns, quoted, ship
+from lexloom.llm.batches import map_columns, quoted, released, ship
 
 # At most so many labelled documents are used for training: those with the least hashed keys.
 TRAINING_DOCUMENTS = 4000
@@ -286,7 +286,7 @@ def fit_quality(
     sample = own.join(F.broadcast(chosen), "key")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             texts = [text or "" for text in batch.column("text").to_pylist()]
             found = line_slots(texts) if texts else []
             columns = [batch.column("key"), batch.column("label")]

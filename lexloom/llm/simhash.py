@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.batches import map_columns, quoted, ship
+from lexloom.llm.batches import map_columns, quoted, released, ship
 from lexloom.llm.components import connected_components
 from lexloom.sources import Staging, stage
 
@@ -112,7 +112,7 @@ class _Forest:
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = (np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int32))
         dividing = None  # the bucket that has turned out too large
-        for batch in batches:
+        for batch in released(batches):
             new = (
                 batch.column("bucket").to_numpy(),
                 batch.column("fingerprint").to_numpy().view(np.uint64),

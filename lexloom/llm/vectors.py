@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.llm.batches import quoted, ship
+from lexloom.llm.batches import quoted, released, ship
 
 # Vectors of a cell.
 BLOCK = 4096
@@ -121,7 +121,7 @@ def search_cells(rows: DataFrame, k: int, dims: int, scorer: Callable[[], Scorer
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, score = Best(k), scorer()
         cell, ids, vectors, ready = None, [], [], None
-        for batch in batches:
+        for batch in released(batches):
             cells = batch.column("cell").to_numpy()
             asks = batch.column("is_query").to_numpy(zero_copy_only=False)
             keys = batch.column("id").to_numpy()
