@@ -34,7 +34,6 @@ def connected_components(edges: DataFrame, source: str, target: str, staging: St
             both.join(least, "node")
             .filter("root > node")
             .select(F.col("root").alias("node"), F.col("least").alias("root"))
-            .distinct()
         )
         # Small star: each node and its smaller neighbours are tied to the least of these.
         least = large.groupBy("node").agg(F.min("root").alias("least"))
