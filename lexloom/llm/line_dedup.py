@@ -133,14 +133,18 @@ def _later_windows(docs: DataFrame, key: str, text: str, least: int) -> DataFram
     found = map_columns(identity, make, ["text"], ["key", "text_hash"], window)
     with Staging(docs.sparkSession) as staging:
         rows = staging.write(found.select("key", "text_hash", F.inline("windows")), "windows")
-        place = F.struct("key", "text_hash", "position")
+        # As numbers, positions are compared without sorting; written out, so that Spark can
+        # split the rows of a line that a third of the documents have.
+        place = F.xxhash64("key", "text_hash", "position")
         shared = (
             rows.groupBy("fingerprint")
             .agg(F.min(place).alias("one"), F.max(place).alias("another"))
             .filter("one != another")
             .select("fingerprint")
         )
-        extended = rows.join(shared, "fingerprint", "left_semi").select(
+        shared = staging.write(shared, "shared")
+        # The side named in a hint is the smaller one at any size, and needs no sorting.
+        extended = rows.join(shared.hint("shuffle_hash"), "fingerprint", "left_semi").select(
             "high",
             "low",
             F.struct(F.col("key").isNull().alias("unnamed"), "key", "text_hash").alias("document"),
@@ -152,9 +156,10 @@ def _later_windows(docs: DataFrame, key: str, text: str, least: int) -> DataFram
             F.min(order).alias("earliest"), F.max(order).alias("latest")
         )
         firsts = firsts.filter("earliest != latest").select("high", "low", "earliest")
+        firsts = staging.write(firsts, "firsts")
         same = F.col("document") == F.col("earliest.document")
         later = (
-            extended.join(firsts, ["high", "low"])
+            extended.join(firsts.hint("shuffle_hash"), ["high", "low"])
             .filter(~same | (F.col("first") > F.col("earliest.last")))
             .groupBy("document.key", "document.text_hash")
             .agg(F.collect_set(F.struct("first", "last")).alias("spans"))
@@ -178,7 +183,9 @@ def dedup_lines(
         raise ValueError(f"columns have names of results: {sorted(clash)}")
     later = _later_windows(docs, key, text, min_words).toDF("__key", "__hash", "__spans")
     own = F.xxhash64(F.col(quoted(text))) == F.col("__hash")
-    joined = docs.join(later, own & F.col(quoted(key)).eqNullSafe(F.col("__key")), "left")
+    same = own & F.col(quoted(key)).eqNullSafe(F.col("__key"))
+    # The texts are the large side at any size: they are dealt by key, but not sorted.
+    joined = docs.join(later.hint("shuffle_hash"), same, "left")
 
     def make():
         def work(texts, spans):
