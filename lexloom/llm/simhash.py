@@ -211,7 +211,7 @@ def _links(prints: DataFrame, radius: int, staging: Staging) -> DataFrame:
         of_mask = large.filter(F.col("mask") == number).select("fingerprint").distinct()
         parts.append(_bucket_rows(of_mask, again))
     divided = _forests(reduce(DataFrame.union, parts), radius, None)
-    return links.union(divided.select("fingerprint", "other"))
+    return links.union(staging.write(divided, "links").select("fingerprint", "other"))
 
 
 def near_groups(

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lexloom.llm import simhash
+from lexloom.llm import components, simhash
 from lexloom.llm.components import connected_components
 from lexloom.llm.queries import QUERIES
 from lexloom.sources import Staging
@@ -110,7 +110,9 @@ def test_null_keys_and_repeats(spark):
         simhash.near_groups(df.withColumn("component_id", F.lit(1)))
 
 
-def test_components_of_chains_stars_and_loops(spark):
+@pytest.mark.parametrize("share", [500_000, 10])
+def test_components_of_chains_stars_and_loops(spark, monkeypatch, share):
+    monkeypatch.setattr(components, "EDGES_AT_ONCE", share)
     draw = random.Random(5)
     edges = [(i, i + 1) for i in range(100, 140)] + [(0, i) for i in range(1, 60)] + [(3, 3), (None, 4)]
     edges += [(draw.randint(200, 400), draw.randint(200, 400)) for _ in range(150)]
