@@ -19,7 +19,7 @@ import lexloom
 
 # Chunks longer than this are worked out each time; shorter ones are remembered.
 REMEMBERED_LENGTH = 64
-# Chunks a worker remembers; beyond, it starts again with none. Bounds memory, not results.
+# Chunks a worker remembers; beyond, it forgets those not met again at once. Bounds memory only.
 REMEMBERED = 300_000
 # Rows handed to a function at once, if it does not ask for more.
 ROWS_AT_ONCE = 1024
@@ -120,13 +120,21 @@ class Chunks:
     for later batches, within a bound.
     """
 
-    def __init__(self, parts: Callable[[str], list[str]], solve: Callable[[list[str]], list]):
+    def __init__(
+        self,
+        parts: Callable[[str], list[str]],
+        solve: Callable[[list[str]], list],
+        remembered: int = REMEMBERED,
+    ):
         self._parts, self._solve, self._known = parts, solve, {}
+        self._remembered = remembered
 
     def __call__(self, texts: Sequence[str | None], combine: Callable) -> list:
         known, parts = self._known, self._parts
-        if len(known) > REMEMBERED:
-            known.clear()
+        if len(known) > self._remembered:
+            # What these texts have of it is mostly what many texts have.
+            used = {chunk for text in texts if text for chunk in parts(text)}
+            known = self._known = {chunk: known[chunk] for chunk in used & known.keys()}
         lacking: set[str] = set()
         for text in texts:
             if text:

@@ -30,10 +30,19 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
-from lexloom.llm.batches import Chunks, map_columns, quoted, released, ship
+from lexloom.llm.batches import (
+    REMEMBERED_LENGTH,
+    Chunks,
+    map_columns,
+    quoted,
+    released,
+    ship,
+)
 from lexloom.llm.token_counts import byte_characters
 from lexloom.sources import Staging, stage
 
+# Chunks and pre-tokens that a worker remembers: some 200 MB.
+CHUNKS, PRETOKENS = 800_000, 400_000
 # Bits of a place's key that hold the number of a piece; the length is above them.
 NUMBER_BITS = 44
 
@@ -63,6 +72,7 @@ class WordEncoder:
         self._odd = regex.compile("|".join([r"\s", *map(regex.escape, added)])).search
         characters = byte_characters()
         self._table = {byte: characters[byte] for byte in range(256)}
+        self._known: dict[str, bytes] = {}
 
     def __call__(self, chunks: list[bytes]) -> list[bytes]:
         texts = [c.decode() for c in chunks]
@@ -72,10 +82,18 @@ class WordEncoder:
         cut = [self._findall(text) for text in normal.split(" ")] if usual else []
         if len(cut) != len(usual):
             raise ValueError("the normalizer changes blanks")
-        ids = {token: self._ids(token) for token in {t for chunk in cut for t in chunk}}
+        # Pre-tokens recur where chunks do not: with other punctuation, or in capitals.
+        ids = self._known
+        if len(ids) > PRETOKENS:
+            ids.clear()
+        new = {token for chunk in cut for token in chunk if token not in ids}
+        ids.update((token, self._ids(token)) for token in new)
         out = [b""] * len(chunks)
         for i, chunk in zip(usual, cut):
             out[i] = b"".join([ids[token] for token in chunk])
+        for token in new:
+            if len(token) > REMEMBERED_LENGTH:
+                del ids[token]
         for i in odd:
             found = self._tokenizer.encode(texts[i], add_special_tokens=False).ids
             out[i] = array("I", found).tobytes()
@@ -89,7 +107,7 @@ class WordEncoder:
 @lru_cache(maxsize=2)
 def _encoder(content: str) -> Chunks:
     """One per worker process and tokenizer."""
-    return Chunks(_space_chunks, WordEncoder(content))
+    return Chunks(_space_chunks, WordEncoder(content), CHUNKS)
 
 
 def tokenized_pieces(
