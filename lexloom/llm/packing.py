@@ -300,7 +300,8 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length") -> DataFrame:
         before = stage(before, "pieces-before")
     outputs = "sequence_id bigint, offset bigint"
     if not counts:
-        return pieces.select("*", *[F.lit(0).cast("bigint").alias(c) for c in ("sequence_id", "offset")])
+        nothing = F.lit(0).cast("bigint")
+        return pieces.select("*", nothing.alias("sequence_id"), nothing.alias("offset"))
     places = pieces.sparkSession.sparkContext.broadcast(_Places(best_two_fit(counts, capacity)))
 
     def place():
