@@ -31,6 +31,8 @@ NEWTON_ROUNDS = 30
 PENALTY = 1e-3
 # Documents whose lines are labelled together.
 DOCUMENTS_AT_ONCE = 256
+# Lines that these have when all are filled up to the longest; a longer document is alone.
+CELLS_AT_ONCE = 1 << 20
 # Code points read together when characters are counted.
 TEXTS_AT_ONCE = 200
 
@@ -142,6 +144,18 @@ def _log_odds(means: np.ndarray) -> np.ndarray:
     return np.log(means / (1 - means))
 
 
+def _groups(sizes: list[int]) -> Iterator[slice]:
+    """Slices of ascending sizes that are labelled together."""
+    start = 0
+    for stop, size in enumerate(sizes):
+        n = stop - start
+        if n and (n == DOCUMENTS_AT_ONCE or (n + 1) * size > CELLS_AT_ONCE):
+            yield slice(start, stop)
+            start = stop
+    if start < len(sizes):
+        yield slice(start, len(sizes))
+
+
 class Field:
     """Weights of a line for being good, of label pairs (row: the label before), and of label 1.
 
@@ -206,8 +220,8 @@ class Field:
         """The length-weighted mean of the lines' probabilities of each document."""
         out = np.empty(len(slots))
         order = np.argsort([len(lengths) for _, lengths in slots], kind="stable")
-        for at in range(0, len(order), DOCUMENTS_AT_ONCE):
-            chosen = order[at : at + DOCUMENTS_AT_ONCE]
+        for group in _groups([len(slots[i][1]) for i in order]):
+            chosen = order[group]
             sizes = np.array([len(slots[i][1]) for i in chosen])
             features = np.concatenate([_features(slots[i][0]) for i in chosen])
             good, _ = self.marginals(sizes, features)
@@ -232,8 +246,8 @@ def train(documents: list[tuple[np.ndarray, np.ndarray, int]]) -> Field:
         return Field.from_values(values)
     documents = sorted(documents, key=lambda d: len(d[0]))
     parts = []
-    for at in range(0, len(documents), DOCUMENTS_AT_ONCE):
-        some = documents[at : at + DOCUMENTS_AT_ONCE]
+    for group in _groups([len(slots) for slots, *_ in documents]):
+        some = documents[group]
         sizes = np.array([len(slots) for slots, *_ in some])
         label = np.repeat([label for *_, label in some], sizes)
         follows = np.zeros((2, 2))
