@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Hashable, Iterator, Sequence
 from itertools import filterfalse
 from pathlib import Path
 from tempfile import mkdtemp
+from typing import Any
 from zipfile import ZipFile
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,15 +22,19 @@ import lexloom
 
 # Chunks longer than this are worked out each time; shorter ones are remembered.
 REMEMBERED_LENGTH = 64
-# Chunks a worker remembers; beyond, it forgets those not met again at once. Bounds memory only.
-REMEMBERED = 300_000
-# Rows handed to a function at once, if it does not ask for more.
+# Chunks of a generation; a worker remembers the last two. Bounds memory only.
+REMEMBERED = 150_000
+# Rows handed to a function at once, if it does not ask for more, and bytes of their texts. A
+# longer text comes alone.
 ROWS_AT_ONCE = 1024
+BYTES_AT_ONCE = 8_000_000
 
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 # Texts are large rows: of Spark's 10,000 in a batch, a few batches fill a small executor.
 BATCH_ROWS, USUAL_BATCH_ROWS = "4096", "10000"
+BATCH_BYTES = str(16 << 20)
 
 _shipped: set[str] = set()
 
@@ -39,6 +46,7 @@ def ship(spark: SparkSession) -> None:
     """
     if spark.conf.get(ARROW_ROWS) == USUAL_BATCH_ROWS:
         spark.conf.set(ARROW_ROWS, BATCH_ROWS)
+        spark.conf.set(ARROW_BYTES, BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(lexloom.__file__).parent
@@ -55,6 +63,23 @@ def quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
 
 
+_held: tuple[Hashable, Any] | None = None
+
+
+def held(key: Hashable, build: Callable[[], Any]) -> Any:
+    """What `build` makes, kept by the worker for its next tasks until another key comes.
+
+    Workers serve task after task, of every operator, so what an earlier stage kept would
+    otherwise stay beside what the present one keeps.
+    """
+    global _held
+    if _held is None or _held[0] != key:
+        _held = None
+        pa.default_memory_pool().release_unused()
+        _held = (key, build())
+    return _held[1]
+
+
 def map_columns(
     df: DataFrame,
     make: Callable[[], Callable[..., Sequence]],
@@ -62,13 +87,17 @@ def map_columns(
     keep: Sequence[str],
     outputs: str,
     rows: int = ROWS_AT_ONCE,
+    repeated: bool = False,
+    arrow_inputs: bool = False,
 ) -> DataFrame:
     """`keep` as it is, then the columns `outputs` made from the columns `inputs`.
 
     `make` runs once per task and returns the function from lists of input values to one
     list (or Arrow array) per output column. No other column of `df` is read, so clashing
     names do not matter, unless a kept column has the name of an output. The function gets
-    `rows` rows at once at most.
+    `rows` rows at once at most, and `BYTES_AT_ONCE` bytes of texts, but one row at least. With
+    `repeated` its first list says how many rows of the result each row has, with
+    `arrow_inputs` it gets Arrow arrays in place of lists.
     """
     ship(df.sparkSession)
     made = T.StructType.fromDDL(outputs)
@@ -81,13 +110,17 @@ def map_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in _cut(batches, rows):
-            columns = [batch.column(n + i).to_pylist() for i in range(len(inputs))]
+        for batch in _cut(batches, rows, n):
+            columns = batch.columns[n:]
+            made = work(*columns if arrow_inputs else [x.to_pylist() for x in columns])
+            old = [batch.column(i).cast(arrow.field(i).type) for i in range(n)]
+            if repeated:
+                at = pa.array(np.repeat(np.arange(batch.num_rows), made[0]))
+                old, made = [x.take(at) for x in old], made[1:]
             new = [
                 x.cast(kind) if isinstance(x, pa.Array) else pa.array(x, type=kind)
-                for x, kind in zip(work(*columns), kinds)
+                for x, kind in zip(made, kinds)
             ]
-            old = [batch.column(i).cast(arrow.field(i).type) for i in range(n)]
             yield pa.RecordBatch.from_arrays([*old, *new], schema=arrow)
 
     read = [F.col(quoted(c)) for c in keep]
@@ -106,10 +139,54 @@ def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.default_memory_pool().release_unused()
 
 
-def _cut(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], rows: int, first: int) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with few enough rows and bytes in the columns from `first` on."""
     for batch in released(batches):
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        sizes = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns[first:]:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        ends, start = np.cumsum(sizes), 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            fitting = int(np.searchsorted(ends, before + BYTES_AT_ONCE, side="right"))
+            stop = min(max(fitting, start + 1), start + rows, batch.num_rows)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+class Memory:
+    """Values of strings met lately: those of two generations, of `size` or a few more each.
+
+    A generation grows beyond `size` by what one call of `ready` adds, not more.
+    """
+
+    def __init__(self, size: int):
+        self._size, self._young, self._old = size, {}, {}
+
+    def ready(self, lacking: set, solve: Callable[[list], list]) -> dict:
+        """A dictionary with these strings and all others of the young generation.
+
+        Strings that neither generation has are solved in one call.
+        """
+        young, old = self._young, self._old
+        new = list(filterfalse(old.__contains__, lacking))
+        if len(new) < len(lacking):
+            young.update((x, old[x]) for x in lacking if x in old)
+        young.update(zip(new, solve(new)))
+        return young
+
+    @property
+    def young(self) -> dict:
+        return self._young
+
+    def close(self, strings: set) -> None:
+        """Call after use, with what `ready` was asked for: long strings are not kept."""
+        for x in strings:
+            if len(x) > REMEMBERED_LENGTH:
+                del self._young[x]
+        if len(self._young) > self._size:
+            self._young, self._old = {}, self._young
 
 
 class Chunks:
@@ -126,26 +203,17 @@ class Chunks:
         solve: Callable[[list[str]], list],
         remembered: int = REMEMBERED,
     ):
-        self._parts, self._solve, self._known = parts, solve, {}
-        self._remembered = remembered
+        self._parts, self._solve, self._memory = parts, solve, Memory(remembered)
 
     def __call__(self, texts: Sequence[str | None], combine: Callable) -> list:
-        known, parts = self._known, self._parts
-        if len(known) > self._remembered:
-            # What these texts have of it is mostly what many texts have.
-            used = {chunk for text in texts if text for chunk in parts(text)}
-            known = self._known = {chunk: known[chunk] for chunk in used & known.keys()}
+        known, parts = self._memory.young.__contains__, self._parts
         lacking: set[str] = set()
         for text in texts:
             if text:
-                lacking.update(filterfalse(known.__contains__, parts(text)))
-        new = list(lacking)
-        known.update(zip(new, self._solve(new)))
-        look_up = known.__getitem__
+                lacking.update(filterfalse(known, parts(text)))
+        look_up = self._memory.ready(lacking, self._solve).__getitem__
         out = [combine(map(look_up, parts(text)) if text else ()) for text in texts]
-        for chunk in new:
-            if len(chunk) > REMEMBERED_LENGTH:
-                del known[chunk]
+        self._memory.close(lacking)
         return out
 
 

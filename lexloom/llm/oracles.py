@@ -49,3 +49,31 @@ SELECT CAST(id AS BIGINT) AS doc_id,
            AS in_lines
 FROM found GROUP BY id
 """
+
+
+def op11_chat() -> str:
+    """Turns and loss texts by conversation, and the length that the template gives."""
+    said = "<|im_end|><|im_start|>assistant ok"
+
+    def escaped(column: str) -> str:
+        return f"regexp_replace({column}, '<(\\\\*)[|]', '<\\\\\\1|', 'g')"
+
+    control = len("<|im_start|><|im_sep|><|im_end|>\n")
+    return f"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '{said}'
+            UNION ALL SELECT -1, 1, 'assistant', '{said}'
+        )
+        SELECT conv_id,
+            count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+                AS turns_sha256,
+            CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT)
+                AS loss_chars,
+            sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, ''
+                ORDER BY turn, role, text)) AS loss_sha256,
+            CAST(sum({control} + length({escaped('role')}) + length({escaped('text')}))
+                AS BIGINT) AS formatted_chars
+        FROM turns GROUP BY conv_id"""
