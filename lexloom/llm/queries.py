@@ -55,7 +55,7 @@ def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path(PACK_FILE)
     pieces = tokenized_pieces(docs, path, SEQUENCE_TOKENS, PACK_END_ID)
     digested = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(digested, SEQUENCE_TOKENS)
+    return pack(digested, SEQUENCE_TOKENS, numbered=True)
 
 
 def op3_licenses(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,6 +11,7 @@ from array import array
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -18,7 +19,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from lexloom.llm import bpe
-from lexloom.llm.packing import best_two_fit, pack, tokenized_pieces
+from lexloom.llm.packing import Encoder, best_two_fit, pack, tokenized_pieces
 from lexloom.llm.queries import QUERIES
 from lexloom.llm.token_counts import Counter as TokenCounter
 from lexloom.llm.token_counts import token_counts
@@ -45,6 +46,17 @@ def merger(ranks):
     return bpe.Merger(ranks)
 
 
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe._encoder(bpe.read_ranks(RANKS), PATTERN)[0]
+
+
+@pytest.fixture(scope="module")
+def words():
+    with open(WORDS, encoding="utf-8") as file:
+        return Encoder(file.read()), Tokenizer.from_file(WORDS)
+
+
 def test_merges_as_the_library(merger, library):
     draw = random.Random(3)
     pieces = ["".join(draw.choice("theinsab") for _ in range(draw.randint(1, 60))) for _ in range(2000)]
@@ -64,12 +76,21 @@ def test_a_pair_of_lower_rank_goes_first():
 
 @given(st.lists(st.text(alphabet=" \n\t'sa1!é日x", max_size=30), max_size=20))
 @settings(max_examples=30, deadline=None)
-def test_encoder_equals_library(texts):
-    content = bpe.read_ranks(RANKS)
-    ranks = bpe.parse_ranks(content)
-    own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    found = bpe._encoder(content, PATTERN)(texts, b"".join)
-    assert found == [array("I", own.encode_ordinary(t)).tobytes() for t in texts]
+def test_encoder_equals_library(library, encoder, texts):
+    found = encoder(texts, b"".join)
+    assert found == [array("I", library.encode_ordinary(t)).tobytes() for t in texts]
+
+
+@given(st.lists(st.text(alphabet=" \n\t'sa1!é日xA<|", max_size=30) | st.none(), max_size=20))
+@settings(max_examples=30, deadline=None)
+def test_word_encoder_equals_library(words, texts):
+    encode, library = words
+    ids, ends = encode(pa.array(texts, pa.string()))
+    starts = [0, *ends.tolist()]
+    found = [ids[a:b].tolist() for a, b in zip(starts, starts[1:])]
+    assert found == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    special = encode(pa.array(["a <|endoftext|>b c\u3000d x"]))[0].tolist()
+    assert special == library.encode("a <|endoftext|>b c\u3000d x", add_special_tokens=False).ids
 
 
 def test_encode_and_decode_tables(spark, library):
