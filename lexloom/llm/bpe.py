@@ -15,13 +15,12 @@ from __future__ import annotations
 
 import base64
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm.batches import Chunks, blank_chunks, chunk_text, map_columns
+from lexloom.llm.batches import Chunks, blank_chunks, chunk_text, held, map_columns
 
 WORD_BITS = 6  # of a rank, for each level of the bitmap
 WORD_MASK = (1 << WORD_BITS) - 1
@@ -191,10 +190,10 @@ def parse_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in rows}
 
 
-@lru_cache(maxsize=2)
-def _encoder(content: bytes, pattern: str) -> Chunks:
-    """One per worker process and vocabulary."""
-    merge = Merger(parse_ranks(content))
+def _encoder(content: bytes, pattern: str) -> tuple[Chunks, dict[int, bytes]]:
+    """What encodes texts, and the token of each rank."""
+    ranks = parse_ranks(content)
+    merge = Merger(ranks)
     findall = regex.compile(pattern).findall
 
     def solve(names: list[str]) -> list[bytes]:
@@ -203,12 +202,11 @@ def _encoder(content: bytes, pattern: str) -> Chunks:
         ids = dict(zip(tokens, merge([token.encode() for token in tokens])))
         return [b"".join([ids[token] for token in chunk]) for chunk in cut]
 
-    return Chunks(blank_chunks(findall), solve)
+    return Chunks(blank_chunks(findall), solve), _token_table(ranks)
 
 
-@lru_cache(maxsize=2)
-def _token_table(content: bytes) -> dict[int, bytes]:
-    return {rank: token for token, rank in parse_ranks(content).items()}
+def _token_table(ranks: dict[bytes, int]) -> dict[int, bytes]:
+    return {rank: token for token, rank in ranks.items()}
 
 
 def _shared_ranks(spark: SparkSession, path: str):
@@ -232,15 +230,15 @@ def encode(
 
     Each match of `pattern` in the whole text is encoded by itself; special tokens are
     ordinary text. The pattern must be one whose matches hold a blank at most in front, or
-    are white space. A null text counts as empty: no ids. Repeated rows are each encoded.
-    Other columns are not read. With `decoded`, the ids are decoded again in the same worker,
+    are white space. A null text counts as empty: no ids. Repeated rows are each encoded,
+    very long texts as a whole; an empty table gives no rows. Other columns are not read. With `decoded`, the ids are decoded again in the same worker,
     as `decode` does.
     """
     content = _shared_ranks(docs.sparkSession, ranks_path)
 
     def make():
-        chunks = _encoder(content.value, pattern)
-        tokens = _token_table(content.value)
+        name = ("bpe", ranks_path, pattern)
+        chunks, tokens = held(name, lambda: _encoder(content.value, pattern))
 
         def work(texts):
             ids = chunks(texts, b"".join)
@@ -263,7 +261,8 @@ def decode(
     content = _shared_ranks(encoded.sparkSession, ranks_path)
 
     def make():
-        tokens = _token_table(content.value)
+        name = ("ranks", ranks_path)
+        tokens = held(name, lambda: _token_table(parse_ranks(content.value)))
         return lambda packed: ([_joined(tokens, x) for x in packed],)
 
     return map_columns(encoded, make, [ids], keep, "decoded binary")

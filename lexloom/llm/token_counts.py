@@ -9,13 +9,12 @@ its pre-tokens up in that set and adds one for each; only the others are merged.
 from __future__ import annotations
 
 import json
-from functools import lru_cache
 
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from lexloom.llm.batches import Chunks, blank_chunks, chunk_text, map_columns
+from lexloom.llm.batches import Chunks, blank_chunks, chunk_text, held, map_columns
 
 # Fixed value: the pattern by which the byte-level pre-tokenizer splits text.
 BYTE_LEVEL_PATTERN = (
@@ -91,12 +90,6 @@ class Counter:
         return "" if self._added is not None and self._added.search(text) else text
 
 
-@lru_cache(maxsize=2)
-def _counter(content: str) -> Counter:
-    """One per worker process and tokenizer, so that the proof is made once."""
-    return Counter(content)
-
-
 def token_counts(
     docs: DataFrame, tokenizer_path: str, limit: int, text: str = "text", keep: tuple = ("doc_id",)
 ) -> DataFrame:
@@ -104,13 +97,15 @@ def token_counts(
 
     The tokenizer is a byte-level BPE in a .json file. Strings of its added tokens inside a
     text are one token each, as the library has it by default. A null text counts as empty.
-    Repeated rows are each counted. Other columns are not read.
+    Repeated rows are each
+    counted, very long texts as a whole; an empty table gives no rows. Other columns are not read.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         content = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def make():
-        count = _counter(content.value)
+        # Held by the worker, so that the proof is made once.
+        count = held(("counts", tokenizer_path), lambda: Counter(content.value))
 
         def work(texts):
             texts = [t or "" for t in texts]
