@@ -12,6 +12,7 @@ logistic curve fitted to the training documents turns the mean into a probabilit
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 from operator import eq
@@ -22,9 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.batches import map_columns, quoted, released, ship
+from lexloom.sources import Staging
 
 # At most so many labelled documents are used for training: those with the least hashed keys.
 TRAINING_DOCUMENTS = 4000
+# And at most so many of their lines.
+TRAINING_LINES = 500_000
 ROUNDS = 150
 STEP = 0.1
 NEWTON_ROUNDS = 30
@@ -33,6 +37,8 @@ PENALTY = 1e-3
 DOCUMENTS_AT_ONCE = 256
 # Lines that these have when all are filled up to the longest; a longer document is alone.
 CELLS_AT_ONCE = 1 << 20
+# Lines from which a document alone is gone through in segments.
+LONG_LINES = 20_000
 # Code points read together when characters are counted.
 TEXTS_AT_ONCE = 200
 
@@ -156,6 +162,47 @@ def _groups(sizes: list[int]) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
+def _joined_marginals(local: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """The probability of good of each line of one very long document.
+
+    `local` has a weight per line and label. The lines are cut into segments. The products of
+    a segment's transfer matrices, worked out for all segments side by side, carry the forward
+    and backward states from segment to segment; then all segments are gone through at once.
+    """
+    n = len(local)
+    size = math.isqrt(n - 1) + 1
+    segments = -(-n // size)
+    moves = np.zeros((segments * size, 2, 2))
+    moves[:n] = step * local[:, None, :]
+    moves[0] = local[0]  # no label stands before the first line
+    moves[n:] = np.eye(2)
+    moves = moves.reshape(segments, size, 2, 2)
+    whole = np.broadcast_to(np.eye(2), (segments, 2, 2))
+    for at in range(size):
+        whole = whole @ moves[:, at]
+        whole = whole / whole.sum(axis=(1, 2), keepdims=True)
+    ahead, behind = np.ones((segments + 1, 2)), np.ones((segments + 1, 2))
+    for i in range(segments):
+        ahead[i + 1] = ahead[i] @ whole[i]
+        ahead[i + 1] /= ahead[i + 1].sum()
+    for i in range(segments - 1, -1, -1):
+        behind[i] = whole[i] @ behind[i + 1]
+        behind[i] /= behind[i].sum()
+    forward, backward = np.empty((2, segments, size, 2))
+    now = ahead[:-1, None, :]
+    for at in range(size):
+        now = now @ moves[:, at]
+        now = now / now.sum(axis=2, keepdims=True)
+        forward[:, at] = now[:, 0]
+    now = behind[1:, :, None]
+    for at in range(size - 1, -1, -1):
+        backward[:, at] = now[:, :, 0]
+        now = moves[:, at] @ now
+        now = now / now.sum(axis=1, keepdims=True)
+    both = (forward * backward).reshape(-1, 2)[:n]
+    return both[:, 1] / both.sum(axis=1)
+
+
 class Field:
     """Weights of a line for being good, of label pairs (row: the label before), and of label 1.
 
@@ -201,6 +248,17 @@ class Field:
         pairs /= pairs.sum(axis=(2, 3), keepdims=True)
         return good[inside], pairs[inside[:, 1:]].sum(axis=0)
 
+    def long_marginals(self, slots: np.ndarray) -> np.ndarray:
+        """`marginals` of one document of many lines, in bounded memory per line."""
+        scores = np.zeros((len(slots), 2))
+        for at in range(0, len(slots), LONG_LINES):
+            # With the lines beside the stretch, whose own features are then left out.
+            first, last = max(at - 1, 0), min(at + LONG_LINES + 1, len(slots))
+            features = _features(slots[first:last])[at - first :][:LONG_LINES]
+            scores[at : at + len(features), 1] = self.weights[features].sum(axis=1) + self.bias
+        local = np.exp(np.clip(scores - scores.max(axis=1, keepdims=True), -50, 0))
+        return _joined_marginals(local, np.exp(self.pairs))
+
     def score(self, slots: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """The probability that each document is good."""
         return 1.0 / (1.0 + np.exp(-self.slope * _log_odds(self.means(slots)) - self.shift))
@@ -223,8 +281,11 @@ class Field:
         for group in _groups([len(slots[i][1]) for i in order]):
             chosen = order[group]
             sizes = np.array([len(slots[i][1]) for i in chosen])
-            features = np.concatenate([_features(slots[i][0]) for i in chosen])
-            good, _ = self.marginals(sizes, features)
+            if len(sizes) == 1 and sizes[0] > LONG_LINES:
+                good = self.long_marginals(slots[chosen[0]][0])
+            else:
+                features = np.concatenate([_features(slots[i][0]) for i in chosen])
+                good, _ = self.marginals(sizes, features)
             # A blank line weighs something, so that a blank text has a score too.
             weights = np.concatenate([slots[i][1] for i in chosen]) + 1e-6
             starts = np.cumsum(sizes) - sizes
@@ -284,33 +345,54 @@ def fit_quality(
     text: str = "text",
     key: str = "doc_id",
     documents: int = TRAINING_DOCUMENTS,
+    lines: int = TRAINING_LINES,
 ) -> Field:
-    """The field trained on `documents` labelled rows at most, chosen by their hashed keys.
+    """The field trained on `documents` labelled documents and `lines` lines at most.
 
-    Labels are 0 and 1; rows of `labels` with a null key or another label are left out. The
-    features of the chosen documents' lines, small numbers, are brought to the driver: their
-    amount is bounded by the number of documents and does not grow with the table.
+    Labels are 0 and 1; rows of `labels` with a null key or another label are left out, and of
+    a key with both the label 0 counts. Documents are chosen by their hashed keys; of several
+    texts with one key that with the least hash is taken. Documents that do not fit into the
+    lines left are passed over. Only the chosen documents' features, twenty bytes a line, are
+    brought to the driver, so neither a frequent key nor long texts can make them many.
     """
     ship(docs.sparkSession)
     marked = labels.select(F.col(quoted(key)).alias("key"), F.col(quoted(label)).alias("label"))
     marked = marked.filter("key IS NOT NULL AND label IN (0, 1)")
-    chosen = marked.orderBy(F.xxhash64("key"), "key", "label").limit(documents)
-    own = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
-    # At most `documents` rows of two numbers are broadcast.
-    sample = own.join(F.broadcast(chosen), "key")
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in released(batches):
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            found = line_slots(texts) if texts else []
-            columns = [batch.column("key"), batch.column("label")]
-            for i in (0, 1):
-                columns.append(pa.array([pair[i].tobytes() for pair in found], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, ["key", "label", "slots", "lengths"])
-
-    kinds = dict(sample.dtypes)
-    schema = f"key {kinds['key']}, label {kinds['label']}, slots binary, lengths binary"
-    rows = sample.mapInArrow(measure, schema).collect()
+    marked = marked.groupBy("key").agg(F.min("label").alias("label"))
+    own = docs.select(
+        F.col(quoted(key)).alias("key"), F.coalesce(F.col(quoted(text)), F.lit("")).alias("text")
+    )
+    with Staging(docs.sparkSession) as staging:
+        chosen = marked.orderBy(F.xxhash64("key"), "key").limit(documents)
+        chosen = staging.write(chosen, "training-keys")
+        # At most `documents` rows of two numbers are broadcast.
+        found = own.join(F.broadcast(chosen), "key").groupBy("key", "label")
+        least = F.struct(F.xxhash64("text"), F.length("text"))
+        texts = found.agg(F.min_by("text", least).alias("text"))
+
+        def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in released(batches):
+                found = line_slots(batch.column("text").to_pylist()) if batch.num_rows else []
+                columns = [batch.column("key"), batch.column("label")]
+                columns.append(pa.array([len(pair[1]) for pair in found], pa.int64()))
+                for i in (0, 1):
+                    columns.append(pa.array([pair[i].tobytes() for pair in found], pa.binary()))
+                names = ["key", "label", "n_lines", "slots", "lengths"]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+        kinds = dict(texts.dtypes)
+        schema = f"key {kinds['key']}, label {kinds['label']}, n_lines bigint"
+        schema += ", slots binary, lengths binary"
+        measured = texts.select("key", "label", "text").mapInArrow(measure, schema)
+        measured = staging.write(measured, "training-lines")
+        taken, room = [], lines
+        sizes = measured.select("key", "n_lines", F.xxhash64("key").alias("order")).collect()
+        for row in sorted(sizes, key=lambda r: (r["order"], r["key"])):
+            if row["n_lines"] <= room:
+                taken.append((row["key"],))
+                room -= row["n_lines"]
+        taken = docs.sparkSession.createDataFrame(taken, f"key {kinds['key']}")
+        rows = measured.join(F.broadcast(taken), "key").collect()
     rows.sort(key=lambda r: (r["key"], r["label"], bytes(r["slots"])))
     return train(
         [
@@ -330,7 +412,8 @@ def quality_scores(
     """`keep` and score (0 to 1, higher is better) of each row's whole text.
 
     A null text counts as empty; an empty text is one blank line. Repeated rows are each
-    scored. Other columns are not read.
+    scored, very long texts as a whole; an empty table gives no rows. Other columns are not
+    read.
     """
 
     def make():
