@@ -11,6 +11,7 @@ reach the query's bound are dropped before their integer score is worked out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -31,24 +32,24 @@ from lexloom.sources import Staging, stage
 
 # Shares of the coordinates after which partial sums are compared with the bound.
 STEPS = (0.25, 0.5)
-# Integers beyond this are not exact as doubles.
-EXACT = 2.0**53
+# Integers up to these are exact as doubles, and as 64-bit integers.
+EXACT, EXACT_LONG = 2.0**53, 2.0**62
 
 
 def _scaled(vectors: np.ndarray, scale: float) -> np.ndarray:
     return np.floor(scale * vectors)
 
 
-def _rotation(vectors: DataFrame, dims: int, scale: float) -> np.ndarray:
+def _rotation(vectors: DataFrame, dims: int, scale: float, most: float) -> np.ndarray:
     """Right singular vectors of the table, the one with the largest singular value first.
 
-    Only the dims × dims sums of products reach the driver.
+    Only the dims × dims sums of products reach the driver. `most` bounds all components.
     """
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((dims, dims))
         for batch in batches:
-            rows = _scaled(matrix(batch.column("v"), dims), scale)
+            rows = _scaled(matrix(batch.column("v"), dims), scale) / most
             total += rows.T @ rows
         at = np.arange(dims * dims, dtype=np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel())], ["at", "value"])
@@ -65,8 +66,8 @@ def _rotation(vectors: DataFrame, dims: int, scale: float) -> np.ndarray:
 class _Scorer:
     """Finds the results in one block that reach the bounds of a tile of queries."""
 
-    def __init__(self, k: int, scale: float, rotation: np.ndarray):
-        self.k, self.scale, self.rotation = k, scale, rotation
+    def __init__(self, k: int, scale: float, rotation: np.ndarray, most: float):
+        self.k, self.scale, self.rotation, self.most = k, scale, rotation, most
         dims = rotation.shape[0]
         self.cuts = [max(1, int(dims * step)) for step in STEPS]
 
@@ -103,11 +104,28 @@ class _Scorer:
             if needed > self.k + 1:
                 least = np.partition(scores, needed - self.k - 1, axis=1)[:, needed - self.k - 1]
                 bounds = np.maximum(bounds, least)
-            rows, columns = np.nonzero(possible & (scores >= bounds[:, None]))
-            return rows, ids[columns], scores[rows, columns].astype(np.int64)
+            # The k-th best is rounded as well where integers are not exact as doubles.
+            least = (bounds - slack)[:, None]
+            rows, columns = np.nonzero(possible & (scores >= least))
+            return rows, ids[columns], self._exact(asked, block, rows, columns)
 
         return find
 
+    def _exact(self, asked, block, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """The integer scores of pairs."""
+        largest = asked.shape[1] * self.most**2
+        if largest < EXACT:
+            return np.einsum("ij,ij->i", asked[rows], block[columns]).astype(np.int64)
+        if largest < EXACT_LONG:
+            whole = asked.astype(np.int64), block.astype(np.int64)
+            return np.einsum("ij,ij->i", whole[0][rows], whole[1][columns])
+        ints = [[int(x) for x in row] for row in asked], [[int(x) for x in row] for row in block]
+        pairs = zip(rows.tolist(), columns.tolist())
+        scores = [sum(map(mul, ints[0][i], ints[1][j])) for i, j in pairs]
+        if any(abs(score) >= 2**63 for score in scores):
+            raise ValueError("a score does not fit a long")
+        return np.array(scores, np.int64)
+
 
 def exact_top_k(
     df: DataFrame,
@@ -123,8 +141,9 @@ def exact_top_k(
     Each component x counts as floor(scale * x). `queries` is a condition on `id`, the key;
     candidates are all rows but the query's own; ties go to the smaller key. Null and empty
     vectors, and those with null or non-finite components, take no part; of rows that share a
-    key the least vector counts; a short vector counts as filled with zeros. Components so
-    large that scores are not exact as doubles are an error. An empty table gives no rows.
+    key the least vector counts; a short vector counts as filled with zeros. Scores of very
+    large components are worked out in integers of any size; one among the largest of a query
+    that does not fit a long is an error. An empty table gives no rows.
     """
     spark = df.sparkSession
     ship(spark)
@@ -133,14 +152,10 @@ def exact_top_k(
         largest = F.max(F.array_max(F.transform("v", lambda x: F.abs(x.cast("double")))))
         n, dims, most = vectors.agg(F.count("*"), F.max(F.size("v")), largest).first()
         dims, most = dims or 1, scale * (most or 0.0) + 1
-        if dims * most * most >= EXACT:
-            raise ValueError(f"components up to {most} make scores that are not exact")
-        rotation = spark.sparkContext.broadcast(_rotation(vectors, dims, scale))
-        length = F.aggregate(
-            "v",
-            F.lit(0.0),
-            lambda total, x: total + F.pow(F.floor(x.cast("double") * scale).cast("double"), 2.0),
-        )
+        rotation = spark.sparkContext.broadcast(_rotation(vectors, dims, scale, most))
+        # No integer is further from zero than this.
+        reach = lambda x: F.abs(x.cast("double") * scale) + 1.0
+        length = F.aggregate("v", F.lit(0.0), lambda total, x: total + F.pow(reach(x), 2.0))
         sorted_ = vectors.withColumn("length", F.sqrt(length)).repartitionByRange(
             max(1, -(-n // block)), F.desc("length"), "id"
         )
@@ -202,6 +217,6 @@ def exact_top_k(
     rows = cells[0].union(cells[1])
     rows = rows.repartition("cell").sortWithinPartitions("cell", "is_query")
     found = search_cells(
-        rows, k, dims, lambda: _Scorer(k, scale, rotation.value), "bigint"
+        rows, k, dims, lambda: _Scorer(k, scale, rotation.value, most), "bigint"
     )
     return ranked(found, k)

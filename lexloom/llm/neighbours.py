@@ -6,12 +6,14 @@ order in which they are likely to hold near vectors: the less the query's projec
 move over the borders, the earlier. What is found in all tables is ranked by exact inner
 products.
 
-The hashes are for distances. Every vector gets one more coordinate that brings it to the
-length of the longest, queries are stretched to that length with the coordinate zero: the
-order by distance is then that by inner product.
+The hashes are for distances. Vectors are taken in bands, in which lengths differ by a factor of
+two at most. Every vector gets one more coordinate that brings it to the length at the top of
+its band, queries are stretched to that length with the coordinate zero: the order by distance
+is then that by inner product. A query visits the buckets of every band.
 
 A bucket is a cell of the search; one with many vectors or many queries is dealt over several
-cells that together meet every vector with every query, so nothing is left out.
+cells that together meet every vector with every query, so nothing is left out. A query that
+has met too few candidates, whatever the reason, goes on to all vectors.
 """
 
 from __future__ import annotations
@@ -42,8 +44,9 @@ from lexloom.sources import stage
 class Index:
     """Parameters of the hash tables.
 
-    `width` is the width of a slot in units of the length of the longest vector, and `probes`
-    the buckets a query visits per table. More tables, wider slots and more probes find more.
+    `width` is the width of a slot in units of the length at the top of a band, and `probes`
+    the buckets a query visits per table and band. More tables, wider slots and more probes
+    find more.
     """
 
     tables: int = 8
@@ -54,11 +57,13 @@ class Index:
 
 
 class _Hashes:
-    def __init__(self, index: Index, dims: int, longest: float):
+    def __init__(self, index: Index, dims: int, bands: list[int]):
         random = np.random.default_rng(index.seed)
-        self.index, self.longest = index, longest
+        self.index, self.bands = index, bands
         self.directions = random.standard_normal((index.tables, dims + 1, index.functions))
         self.offsets = random.random((index.tables, index.functions))
+        # Different for each band, so that their buckets are apart.
+        self.band_names = {band: int(x) for band, x in zip(bands, random.integers(1, 2**62, len(bands)))}
         # Every way to move each function's slot by one or not at all.
         self.moves = np.array([*product((0, -1, 1), repeat=index.functions)])
         self.names = random.integers(1, 2**62, (index.tables, index.functions + 1))
@@ -70,21 +75,26 @@ class _Hashes:
             return (slots * weights[:-1]).sum(axis=-1) + weights[-1]
 
     def _positions(self, table: int, rows: np.ndarray) -> np.ndarray:
-        scaled = rows @ self.directions[table] / (self.index.width * self.longest)
-        return scaled + self.offsets[table]
+        return rows @ self.directions[table] / self.index.width + self.offsets[table]
 
     def of_vectors(self, rows: np.ndarray) -> np.ndarray:
         """A bucket per vector and table."""
-        rest = np.sqrt(np.maximum(self.longest**2 - (rows * rows).sum(axis=1), 0.0))
+        bands = np.frexp(_lengths(rows))[1]
+        names = np.array([self.band_names[band] for band in bands.tolist()], np.int64)
+        rows = np.ldexp(rows, -bands[:, None])
+        rest = np.sqrt(np.maximum(1.0 - (rows * rows).sum(axis=1), 0.0))
         rows = np.column_stack((rows, rest))
         tables = range(self.index.tables)
         slots = [np.floor(self._positions(t, rows)).astype(np.int64) for t in tables]
-        return np.stack([self._buckets(t, s) for t, s in enumerate(slots)], axis=1)
+        buckets = np.stack([self._buckets(t, s) for t, s in enumerate(slots)], axis=1)
+        return buckets ^ names[:, None]
 
     def of_queries(self, rows: np.ndarray) -> np.ndarray:
-        """The buckets that each query visits, over all tables."""
+        """The buckets that each query visits, over all tables and bands."""
+        # First by a power of two, as the square of a very small or large number is none.
+        rows = np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
         lengths = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-        rows = np.column_stack((rows * (self.longest / lengths), np.zeros(len(rows))))
+        rows = np.column_stack((rows / lengths, np.zeros(len(rows))))
         visited = []
         for table in range(self.index.tables):
             positions = self._positions(table, rows)
@@ -96,10 +106,18 @@ class _Hashes:
             effort = ways[:, chosen[0], chosen[1]].sum(axis=2)
             order = np.argsort(effort, axis=1, kind="stable")[:, : self.index.probes]
             moved = slots[:, None, :].astype(np.int64) + self.moves[order]
-            visited.append(self._buckets(table, moved))
+            buckets = self._buckets(table, moved)
+            visited += [buckets ^ name for name in self.band_names.values()]
         return np.concatenate(visited, axis=1)
 
 
+def _lengths(rows: np.ndarray) -> np.ndarray:
+    """Upper ends of the bands follow from these, so they are above what rounding loses."""
+    largest = np.frexp(np.abs(rows).max(axis=1))[1]
+    scaled = np.ldexp(rows, -largest[:, None])
+    return np.ldexp(np.sqrt((scaled * scaled).sum(axis=1)), largest)
+
+
 def _score(k: int):
     def block(vectors: np.ndarray, ids: np.ndarray):
         lengths = np.sqrt((vectors * vectors).sum(axis=1)).max()
@@ -147,27 +165,32 @@ def nearest_by_product(
     but the query's own. Ties go to the smaller key. Null, empty and zero vectors, and those
     with null or non-finite components, take no part; of rows that share a key the least
     vector counts; a short vector counts as filled with zeros. Scores are exact, which vectors
-    are found is not. A table of at most k + 1 vectors is searched whole.
+    are found is not, but every query gets `k` rows, or all candidates if these are fewer. An
+    empty table gives no rows.
     """
     spark = df.sparkSession
     ship(spark)
-    norm = F.sqrt(
-        F.aggregate("v", F.lit(0.0), lambda total, x: total + F.pow(x.cast("double"), 2.0))
-    )
-    vectors = usable(df, key, vector).withColumn("length", norm).filter("length > 0")
+    zero = F.lit(0.0)
+    vectors = usable(df, key, vector).filter(F.exists("v", lambda x: x.cast("double") != zero))
     vectors = stage(vectors, "vectors")
-    n, dims, longest = vectors.agg(F.count("*"), F.max(F.size("v")), F.max("length")).first()
-    hashes = spark.sparkContext.broadcast(_Hashes(index, dims or 1, longest or 1.0))
-    everything = n <= k + 1
+    n, dims = vectors.agg(F.count("*"), F.max(F.size("v"))).first()
+    dims = dims or 1
+
+    def band_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands = np.frexp(_lengths(matrix(batch.column("v"), dims)))[1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(bands), pa.int32())], ["band"])
+
+    # As many as the exponents of a double at most.
+    bands = vectors.select("v").mapInArrow(band_of, "band int").distinct().collect()
+    hashes = _Hashes(index, dims, sorted(row["band"] for row in bands))
+    hashes = spark.sparkContext.broadcast(hashes)
     element = dict(vectors.dtypes)["v"]
 
     def with_buckets(of):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = matrix(batch.column("v"), dims)
-                buckets = np.zeros((len(rows), 1), np.int64)
-                if not everything:
-                    buckets = getattr(hashes.value, of)(rows)
+                buckets = getattr(hashes.value, of)(matrix(batch.column("v"), dims))
                 names = ["id", "v", "buckets"]
                 listed = pa.array(buckets.tolist(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
@@ -200,8 +223,44 @@ def nearest_by_product(
     )
     offered = _cells(indexed, counts, "of_vectors", "of_queries")
     asking = _cells(visits, counts, "of_queries", "of_vectors")
+    found = stage(ranked(_searched(offered, asking, k, dims), k), "neighbours")
+    # Queries that met too few; by none of them a row may be missing.
+    full = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= min(k, n - 1))
+    asked = vectors.filter(queries)
+    lacking = stage(
+        asked.join(full, F.col("id") == F.col("query_id"), "left_anti").select("id", "v"), "lacking"
+    )
+    many = lacking.count()
+    if not many:
+        return found
+    everywhere = _everywhere(vectors, lacking, -(-n // BLOCK), -(-many // QUERY_BLOCK))
+    rest = ranked(_searched(*everywhere, k, dims), k)
+    kept = found.join(lacking.select("id"), F.col("query_id") == F.col("id"), "left_anti")
+    return kept.union(rest)
+
+
+def _searched(offered: DataFrame, asking: DataFrame, k: int, dims: int) -> DataFrame:
     rows = offered.withColumn("is_query", F.lit(False)).union(
         asking.withColumn("is_query", F.lit(True))
     )
     rows = rows.repartition("cell").sortWithinPartitions("cell", "is_query")
-    return ranked(search_cells(rows, k, dims or 1, lambda: _score(k), "double"), k)
+    return search_cells(rows, k, dims, lambda: _score(k), "double")
+
+
+def _everywhere(
+    vectors: DataFrame, asked: DataFrame, blocks: int, parts: int
+) -> tuple[DataFrame, DataFrame]:
+    """Cells in which every vector meets every one of `asked`, block against block."""
+
+    def side(rows: DataFrame, own: int, others: int, first: bool) -> DataFrame:
+        mine = F.pmod(F.xxhash64("id"), F.lit(own))
+        theirs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(others - 1).cast("bigint")))
+        dealt = rows.select("id", "v", mine.alias("mine"), theirs.alias("theirs"))
+        cell = F.col("mine") * others + F.col("theirs")
+        if not first:
+            cell = F.col("theirs") * own + F.col("mine")
+        return dealt.select(
+            cell.alias("cell"), "id", "v", F.lit(None).cast("double").alias("bound")
+        )
+
+    return side(vectors, blocks, parts, True), side(asked, parts, blocks, False)

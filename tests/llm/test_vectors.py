@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from lexloom.llm import exact_top_k as exact
 from lexloom.llm import vectors
 from lexloom.llm.exact_top_k import exact_top_k
-from lexloom.llm.neighbours import nearest_by_product
+from lexloom.llm.neighbours import Index, nearest_by_product
 from lexloom.llm.queries import QUERIES
 
 NAN, INF = float("nan"), float("inf")
@@ -86,8 +88,22 @@ def test_exact_search_over_many_blocks(spark, monkeypatch):
 def test_exact_search_of_nothing_and_of_too_much(spark):
     assert exact_top_k(_table(spark, []), F.col("id") >= 0, 3).count() == 0
     assert exact_top_k(_table(spark), F.col("id") < 0, 3).count() == 0
-    with pytest.raises(ValueError, match="not exact"):
-        exact_top_k(_table(spark, [(1, [1e9])], "double"), F.col("id") >= 0, 3)
+    with pytest.raises(Exception, match="does not fit a long"):
+        rows = [(1, [1e9]), (2, [2e9])]
+        exact_top_k(_table(spark, rows, "double"), F.col("id") >= 0, 3).collect()
+
+
+@pytest.mark.parametrize("size", [5e4, 3e6, 7e6])
+def test_exact_search_of_large_components(spark, size):
+    draw = np.random.default_rng(3)
+    values = draw.uniform(-size, size, (300, 2))
+    # Scores that differ in their last digits only.
+    values[100:] = np.floor(values[100]) + np.arange(200)[:, None] / 256
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(values)]
+    found = _sorted(exact_top_k(_table(spark, rows, "double"), F.col("id") % 10 == 0, 4, block=64))
+    used = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    score = lambda a, b: a[0] * b[0] + a[1] * b[1]
+    assert found == _brute(used, [i for i in used if i % 10 == 0], 4, score)
 
 
 def test_exact_query(spark, sf):
@@ -119,6 +135,37 @@ def test_neighbours_query_finds_most(spark, sf):
     assert [r[2] for r in by_rank] == [r[2] for r in sorted(found, key=lambda r: r[:2])]
 
 
+@pytest.mark.parametrize("kind", ["unit", "one long", "very long", "log-normal", "tiny"])
+def test_neighbours_of_uneven_lengths(spark, kind):
+    draw = np.random.default_rng(1)
+    values = draw.standard_normal((1500, 64))
+    values /= np.sqrt((values**2).sum(axis=1, keepdims=True))
+    if kind in ("one long", "very long"):
+        values[7] *= 10 if kind == "one long" else 1e6
+    if kind == "log-normal":
+        values *= draw.lognormal(0, 1, (1500, 1))
+    if kind == "tiny":
+        values[:40] *= 1e-180
+    used = dict(enumerate(values))
+    rows = [(i, v.tolist()) for i, v in used.items()]
+    found = _sorted(nearest_by_product(_table(spark, rows, "double"), F.col("id") % 20 == 0, 20))
+    queries = [i for i in used if i % 20 == 0]
+    nearest = {r[:1] + r[2:3] for r in _brute(used, queries, 20, lambda a, b: float(a @ b))}
+    assert len(found) == 20 * len(queries)
+    assert len(nearest & {(q, i) for q, _, i, _ in found}) >= 0.9 * len(nearest)
+
+
+def test_a_query_without_candidates_meets_all(spark):
+    few = Index(tables=1, functions=4, width=0.01, probes=1)
+    draw = np.random.default_rng(1)
+    used = dict(enumerate(draw.standard_normal((300, 2))))
+    rows = [(i, v.tolist()) for i, v in used.items()]
+    for k in (20, 400):
+        found = _sorted(nearest_by_product(_table(spark, rows, "double"), F.col("id") < 9, k, few))
+        expected = _brute(used, range(9), k, lambda a, b: float(a @ b))
+        assert [r[:3] for r in found] == [r[:3] for r in expected]
+
+
 def test_equal_vectors_and_hot_buckets(spark, monkeypatch):
     """A third of the rows equal; blocks so small that their bucket is dealt over many cells."""
     from lexloom.llm import neighbours
