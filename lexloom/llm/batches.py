@@ -63,6 +63,17 @@ def quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
 
 
+def unused(taken: Sequence[str], *names: str) -> list[str]:
+    """The names, lengthened until no column of `taken` has them in any case."""
+    lower = {column.lower() for column in taken}
+    out = []
+    for name in names:
+        while name.lower() in lower:
+            name += "_"
+        out.append(name)
+    return out
+
+
 _held: tuple[Hashable, Any] | None = None
 
 

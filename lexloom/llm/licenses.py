@@ -111,13 +111,16 @@ def license_scan(
     `licenses` has the columns license and text. One row per document with any; both are
     sorted lists of identifiers without repetition. Rows that share a key are one document, as
     are those with a null key. Null texts, and those without letters or digits, match nothing.
+    Very long texts are compared whole; an empty table gives no rows.
     """
     known = licenses.select(
         F.col("license"), digest(canonical_lines(F.col("text"))).alias("digest")
     )
     known = known.filter("license IS NOT NULL AND digest IS NOT NULL").distinct()
+    # Made by `explode`, below which neither the filter nor what follows can copy it.
     lines = docs.select(
-        F.col(quoted(key)).alias("key"), canonical_lines(F.col(quoted(text))).alias("lines")
+        F.col(quoted(key)).alias("key"),
+        F.explode(F.array(canonical_lines(F.col(quoted(text))))).alias("lines"),
     ).filter(F.size("lines") > 0)
     whole = F.struct(digest(F.col("lines")).alias("digest"), F.lit(True).alias("is_whole"))
     own = F.transform(

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.batches import map_columns, quoted
+from lexloom.llm.batches import map_columns, quoted, unused
 from lexloom.sources import Staging, stage
 
 # A run of fewer words is no repeated passage.
@@ -177,13 +177,15 @@ def dedup_lines(
     key or further up in the same one, is deleted, as are blank lines between deleted ones. Runs
     that overlap their first occurrence stay. deleted_runs has the numbers (from 0) of the first
     and last lines. Rows with equal key and text are one document and come out alike; rows
-    with a null key come last, ordered by their texts' hashes. A null text stays null.
+    with a null key come last, ordered by their texts' hashes. A null text stays null. Very
+    long texts and lines are compared whole; an empty table gives no rows.
     """
-    if clash := {"deleted_runs", "__spans"} & set(docs.columns):
-        raise ValueError(f"columns have names of results: {sorted(clash)}")
-    later = _later_windows(docs, key, text, min_words).toDF("__key", "__hash", "__spans")
-    own = F.xxhash64(F.col(quoted(text))) == F.col("__hash")
-    same = own & F.col(quoted(key)).eqNullSafe(F.col("__key"))
+    if "deleted_runs" in docs.columns:
+        raise ValueError("columns have names of results: deleted_runs")
+    names = unused(docs.columns, "document_key", "text_hash", "text_spans")
+    later = _later_windows(docs, key, text, min_words).toDF(*names)
+    own = F.xxhash64(F.col(quoted(text))) == F.col(names[1])
+    same = own & F.col(quoted(key)).eqNullSafe(F.col(names[0]))
     # The texts are the large side at any size: they are dealt by key, but not sorted.
     joined = docs.join(later.hint("shuffle_hash"), same, "left")
 
@@ -203,5 +205,5 @@ def dedup_lines(
 
     others = [c for c in docs.columns if c != text]
     outputs = f"{quoted(text)} string, deleted_runs array<struct<first: int, last: int>>"
-    made = map_columns(joined, make, [text, "__spans"], others, outputs)
+    made = map_columns(joined, make, [text, names[2]], others, outputs)
     return made.select(*[F.col(quoted(c)) for c in docs.columns], "deleted_runs")

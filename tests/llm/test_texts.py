@@ -46,7 +46,8 @@ def _deduped(texts, least):
 
 
 def _check_lines(spark, texts, least):
-    docs = documents(spark, texts, first="clash", key=1).repartition(3)
+    clashing = {name: "clash" for name in ("__key", "__hash", "document_key", "Text_Hash")}
+    docs = documents(spark, texts, first="clash", key=1, **clashing).repartition(3)
     found = dedup_lines(docs, least).orderBy("doc_id").collect()
     expected = _deduped(texts, least)
     assert [r.text for r in found] == [t for t, _ in expected]
