@@ -51,8 +51,7 @@ def test_stages_one_by_one(spark, sf, tmp_path):
     assert all(r.n_chars == len(r.text) for r in without)
 
     prints = {r.doc_id: _print_of(r.text) for r in without}
-    bits = corpus_pipeline.NEAR_BITS
-    groups = _components(prints, lambda a, b: (prints[a] ^ prints[b]).bit_count() <= bits)
+    groups = _components(prints, lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
     assert single == [r for r in without if r.doc_id in set(groups.values())]
 
     assert [r.doc_id for r in clean] == [r.doc_id for r in single]
