@@ -17,20 +17,14 @@ from pyspark.sql import functions as F
 from lexloom.llm import queries
 from lexloom.llm.batches import quoted
 from lexloom.llm.line_dedup import dedup_lines
-from lexloom.llm.near_copies import representatives, sketches
 from lexloom.llm.packing import pack, tokenized_pieces
 from lexloom.llm.quality import fit_quality, quality_scores
 from lexloom.llm.secrets import redact
+from lexloom.llm.simhash import fingerprints, near_groups
 from lexloom.sources import Staging, read_parquet, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# Bits in which fingerprints of near copies differed before similarity was asked for. Only the
-# stage test reads it.
-NEAR_BITS = 5
-# Near copies share four fifths of their different runs of five words.
-NEAR_WORDS, NEAR_SHARE = 5, 0.8
-
 
 def _wrapped(docs: DataFrame) -> DataFrame:
     """(doc_id, text, row): what the operators read, and all other columns out of their way."""
@@ -68,12 +62,23 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the least doc_id."""
-    sketched = sketches(_wrapped(docs), NEAR_WORDS, keep=("doc_id", "text", "row"))
-    sketched = stage(sketched.withColumn("number", F.monotonically_increasing_id()), "simhash")
-    chosen = representatives(sketched, NEAR_WORDS, NEAR_SHARE)
+    """One document of each group of near copies: that with the least doc_id.
+
+    Near copies are what query 1 links: fingerprints of runs of three words that differ in at
+    most three bits, directly or through others. Of rows that share the least doc_id one stays;
+    a group without any doc_id keeps one of its rows.
+    """
+    wrapped = _wrapped(docs)
+    prints = fingerprints(wrapped, queries.SIMHASH_SHINGLE, keep=("doc_id", "text", "row"))
+    prints = stage(prints.withColumn("number", F.monotonically_increasing_id()), "simhash")
+    keys = prints.select("number", "doc_id", "fingerprint")
+    groups = near_groups(keys, queries.SIMHASH_RADIUS).filter(
+        F.col("doc_id").eqNullSafe(F.col("component_id"))
+    )
+    chosen = groups.groupBy("component_root").agg(F.min("number").alias("number"))
     # The texts are the large side at any size: they are dealt by number, but not sorted.
-    return _unwrapped(sketched.join(chosen.hint("shuffle_hash"), "number", "left_semi"), docs)
+    only = chosen.select("number").hint("shuffle_hash")
+    return _unwrapped(prints.join(only, "number", "left_semi"), docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -85,7 +90,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, piece, start, length, ids, sequence_id, offset of the packed pieces."""
     path = public_tokenizers.path(queries.PACK_FILE)
     pieces = tokenized_pieces(docs, path, queries.SEQUENCE_TOKENS, queries.PACK_END_ID)
-    return pack(pieces, queries.SEQUENCE_TOKENS)
+    return pack(pieces, queries.SEQUENCE_TOKENS, numbered=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
