@@ -373,6 +373,8 @@ SQL: dict[str, str] = {
     "drift_to_nowhere": _overall(q.NEVER),
     "embedding_means": f"""
         WITH {_docs()} SELECT count(*) AS n, cast(0 AS BIGINT) AS differing FROM docs""",
+    "paragraph_languages": f"""
+        WITH {_docs()} SELECT lang, count(*) AS n, true AS alike FROM docs GROUP BY lang""",
     "composition_counts": """
         SELECT quality, lang, source, count(quality) AS n
         FROM documents LEFT JOIN labels USING (doc_id) GROUP BY quality, lang, source""",

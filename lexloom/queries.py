@@ -29,6 +29,8 @@ from lexloom.functions import (
 from lexloom.operators import embeddings as emb
 from lexloom.operators import metrics, rows, sampling, terms
 from lexloom.operators.nearest import nearest
+from lexloom.operators.paragraphs import DIMS as PARAGRAPH_DIMS
+from lexloom.operators.paragraphs import Settings, fit_paragraphs, load_paragraphs
 from lexloom.operators.pooling import pool
 from lexloom.plans.topics import term_loadings
 from lexloom.sources import (
@@ -527,6 +529,35 @@ def word2vec_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return plans.most_similar(embedded, "source", "embedding", emb.DIMS, k=5)
 
 
+def _paragraph_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    docs = stage(_documents(spark, sf, "doc_id", "source", "lang"), "doc-tokens")
+    return fit_paragraphs(docs, "tokens", epochs=16, settings=Settings(seed=SEED))[1]
+
+
+def paragraph_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    """Train document vectors, save the words' and load them, fit the same documents to them,
+    find the most similar sources."""
+    docs = stage(_documents(spark, sf, "doc_id", "source"), "doc-tokens")
+    model, _ = fit_paragraphs(docs, "tokens", settings=Settings(seed=SEED))
+    path = new_path(spark, "paragraphs")
+    model.save(path)
+    vectors = load_paragraphs(spark, path).vectors(docs, "tokens")
+    return plans.most_similar(vectors, "source", "embedding", PARAGRAPH_DIMS, k=5)
+
+
+def paragraph_languages(spark: SparkSession, sf: str) -> DataFrame:
+    """Per language its documents, and whether four in five are nearest to one of the same."""
+    vectors = stage(_paragraph_vectors(spark, sf), "paragraph-vectors")
+    found = nearest(vectors.select("doc_id", "embedding"), "doc_id", "embedding", k=1)
+    langs = vectors.select("doc_id", "lang")
+    others = langs.select(F.col("doc_id").alias("other"), F.col("lang").alias("other_lang"))
+    pairs = langs.join(found, "doc_id", "left").join(others, "other", "left")
+    alike = F.count_if(F.col("lang") == F.col("other_lang"))
+    return pairs.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), (alike >= 0.8 * F.count(F.lit(1))).alias("alike")
+    )
+
+
 def leaders_drift(spark: SparkSession, sf: str) -> DataFrame:
     """From raw CSV to drift: dated speeches, marked rows, embeddings, two periods.
 
@@ -810,6 +841,8 @@ QUERIES: dict[str, Query] = {
         drift_to_nowhere,
         embedding_means,
         word2vec_nearest,
+        paragraph_nearest,
+        paragraph_languages,
         leaders_drift,
         composition_counts,
         distinct_groups,

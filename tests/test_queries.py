@@ -12,6 +12,7 @@ from tests.compare import connect, differences
 WITHOUT_SQL = {
     "spark_sample",
     "word2vec_nearest",
+    "paragraph_nearest",
     "leaders_drift",
     "svm_metrics",
     "topics",
@@ -43,8 +44,9 @@ def test_leaders_drift_has_a_row_per_party(spark, sf):
     assert all(-1.0 <= r.similarity <= 1.0 for r in found)
 
 
-def test_word2vec_gives_every_source_its_neighbours(spark, sf):
-    found = QUERIES["word2vec_nearest"](spark, sf).collect()
+@pytest.mark.parametrize("name", ["word2vec_nearest", "paragraph_nearest"])
+def test_embeddings_give_every_source_its_neighbours(spark, sf, name):
+    found = QUERIES[name](spark, sf).collect()
     assert len(found) == 20 * 5 and all(r.source != r.other for r in found)
 
 
