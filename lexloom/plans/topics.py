@@ -2,88 +2,44 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
-from threading import Lock
-
-import numpy as np
-import pyarrow as pa
-from pyspark import inheritable_thread_target
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from lexloom.operators.terms import fit_vocabulary, tfidf_vectors
+from lexloom.operators.svd import truncated_svd
+from lexloom.operators.terms import fit_vocabulary, sliced_tfidf, term_rows, tfidf_rows
 from lexloom.sources.staging import Staging
 
 COLUMNS = ("concept", "rank", "term", "weight", "singular_value")
-# Fits that the driver starts one after another.
-MOST_SLICES = 10_000
-# The driver's part of an SVD keeps its state in static fields: one at a time.
-_ONE_SVD = Lock()
-
-
-@dataclass(frozen=True)
-class _Concepts:
-    """Terms, their weights (a column per concept), and the singular values."""
-
-    terms: tuple[str, ...]
-    weights: np.ndarray
-    strengths: np.ndarray
-
-    def rows(self, most: int | None = None) -> dict[str, list]:
-        """Columns of a row per concept and term; the `most` of highest weight, ranked."""
-        out: dict[str, list] = {name: [] for name in COLUMNS}
-        for concept, strength in enumerate(self.strengths.tolist()):
-            weight = self.weights[:, concept]
-            order = np.lexsort((np.array(self.terms), -weight))[:most].tolist()
-            out["concept"] += [concept + 1] * len(order)
-            out["rank"] += range(1, len(order) + 1)
-            out["term"] += [self.terms[i] for i in order]
-            out["weight"] += weight[order].tolist()
-            out["singular_value"] += [strength] * len(order)
-        return out
 
 
-def _frame(spark: SparkSession, rows: dict[str, list], extra: dict[str, pa.Array]) -> DataFrame:
-    kinds = zip(COLUMNS, (pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.float64()))
-    columns = extra | {name: pa.array(rows[name], kind) for name, kind in kinds}
-    return spark.createDataFrame(pa.table(columns))
-
-
-def _concepts(df: DataFrame, tokens: str, k: int, max_df: float, vocab: int) -> _Concepts:
-    """Right singular vectors of the tf-idf matrix.
+def _loadings(
+    df: DataFrame, tokens: str, k: int, max_df: float, vocab: int, slice: str | None
+) -> DataFrame:
+    """(slice, concept, singular_value, term, weight): all weights of the concepts per slice.
 
-    The rows are written once and held by the executors, in memory or on their disks, for
-    the iterations: one that is lost reads its rows again, not the text. The driver gets
-    the k × vocabulary weights. The sign of a singular vector is arbitrary, so
-    each is turned to make its largest weight in magnitude positive. Without a term in the
-    vocabulary there is no concept.
+    Without a slice the first column is a constant. Each document has a number of its own,
+    and everything after that is one job for all slices.
     """
-    vocabulary = fit_vocabulary(df, tokens, max_df, vocab)
-    if not vocabulary.terms:
-        return _Concepts((), np.empty((0, 0)), np.empty(0))
+    part = slice or "_slice"
+    own = F.lit(0).alias(part) if slice is None else F.col(f"`{slice}`")
     with Staging(df.sparkSession) as staging:
-        features = tfidf_vectors(df, tokens, vocabulary).select("features")
-        features = staging.write(features, "topic-features")
-        rows = MLUtils.convertVectorColumnsFromML(features, "features").persist()
-        try:
-            matrix = RowMatrix(rows, numCols=len(vocabulary.terms))
-            with _ONE_SVD:
-                svd = matrix.computeSVD(min(k, len(vocabulary.terms)), computeU=False)
-            v, strengths = svd.V.toArray(), svd.s.toArray()
-        finally:
-            rows.unpersist()
-    largest = v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])]
-    return _Concepts(vocabulary.terms, v * np.where(largest < 0, -1.0, 1.0), strengths)
+        docs = df.select(own, tokens, F.monotonically_increasing_id().alias("_doc"))
+        docs = staging.write(docs, "topic-tokens")
+        keys = [part, "_doc"]
+        rows = term_rows(docs, keys, tokens)
+        if slice is None:
+            weighted = tfidf_rows(rows, fit_vocabulary(docs, tokens, max_df, vocab))
+        else:
+            # A row without a term stands for the document itself.
+            alone = docs.select(*keys, F.lit(None).cast("string"), F.lit(1).cast("bigint"))
+            weighted = sliced_tfidf(rows.union(alone), slice, max_df, vocab)
+        entries = staging.write(weighted.select(*keys, "term", "weight"), "topic-entries")
+        return truncated_svd(entries, k, part=part, row="_doc")
 
 
 def term_loadings(df: DataFrame, tokens: str, k: int, max_df: float, vocab: int) -> DataFrame:
     """(concept, singular_value, term, weight): all weights of the concepts."""
-    found = _concepts(df, tokens, k, max_df, vocab)
-    return _frame(df.sparkSession, found.rows(), {}).drop("rank")
+    return _loadings(df, tokens, k, max_df, vocab, None).drop("_slice")
 
 
 def topics(
@@ -95,43 +51,20 @@ def topics(
     max_df: float = 0.2,
     vocab: int = 8000,
     slice: str | None = None,
-    parallelism: int = 4,
 ) -> DataFrame:
     """(concept, rank, term, weight, singular_value), per value of `slice` if one is named.
 
-    The terms of highest weight per concept, ranked; ties go by the alphabet. Without slices
-    `df` is read twice, so it should be a table or a scan with its tokens, not a long
-    computation. With slices the tokens are written to the shared folder once, by slice, so
-    every slice's jobs read their own directory only; they are rebalanced first, so small
-    slices make few files and a big one is split over many tasks. Null and the empty text
-    are slices like others. `parallelism` slices are worked on at a time up to their
-    decomposition, each of them by the whole cluster, so one big slice is no bottleneck.
-    Every slice is a fit of its own that the driver starts: more than MOST_SLICES are an error.
+    The terms of highest weight per concept, ranked; ties go by the alphabet. With slices each
+    value, null and the empty text among them, is a corpus of its own with its own vocabulary,
+    and the first column; all of them are decomposed in one job, so their number does not
+    matter and a big one is no bottleneck. Without a term in the vocabulary there is no
+    concept. The sign of a singular vector is arbitrary, so each is turned to make its largest
+    weight in magnitude positive. The result is a table in the shared folder.
     """
-    spark = df.sparkSession
-    if slice is None:
-        return _frame(spark, _concepts(df, tokens, k, max_df, vocab).rows(terms), {})
-    # A folder per slice, named by a hash: the value may be null, empty or a whole path.
-    folder = F.when(F.col(slice).isNotNull(), F.xxhash64(slice))
-    evened = df.select(slice, tokens, folder.alias("_folder")).hint("rebalance", "_folder")
-    with Staging(spark) as staging:
-        staged = staging.write(evened, "tokens-by-slice", by=["_folder"])
-        found = staged.select("_folder", slice).distinct().orderBy(slice).limit(MOST_SLICES + 1)
-        slices = found.collect()
-        if not slices:
-            raise ValueError("there are no rows, so there is no slice")
-        if len(slices) > MOST_SLICES:
-            raise ValueError(f"there are more than {MOST_SLICES} slices")
-
-        def one(row) -> dict[str, list]:
-            own = F.col(slice).eqNullSafe(F.lit(row[1]))
-            part = staged.filter(F.col("_folder").eqNullSafe(F.lit(row[0])) & own)
-            return _concepts(part, tokens, k, max_df, vocab).rows(terms)
-
-        with ThreadPool(min(parallelism, len(slices))) as pool:
-            parts = pool.map(inheritable_thread_target(spark)(one), slices)
-    rows = {name: [x for part in parts for x in part[name]] for name in COLUMNS}
-    # Without a row the value's type cannot be told from values, so the table's is used.
-    values = [row[1] for row, part in zip(slices, parts) for _ in part["concept"]]
-    kind = to_arrow_schema(df.select(slice).schema, prefers_large_types=False).field(0).type
-    return _frame(spark, rows, {slice: pa.array(values, kind)})
+    if slice is not None and df.isEmpty():
+        raise ValueError("there are no rows, so there is no slice")
+    found = _loadings(df, tokens, k, max_df, vocab, slice)
+    keys = ["concept"] if slice is None else [slice, "concept"]
+    order = Window.partitionBy(*keys).orderBy(F.desc("weight"), "term")
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= terms)
+    return ranked.select(*([] if slice is None else [slice]), *COLUMNS)
