@@ -330,6 +330,19 @@ SQL: dict[str, str] = {
         SELECT role, turn, chunk, cast(sum(len(tokens)) AS BIGINT) AS n_tokens,
                md5(string_agg(array_to_string(tokens, ','), ',' ORDER BY conv_id)) AS tokens_md5
         FROM dealt GROUP BY role, turn, chunk""",
+    "collect_chunks": f"""
+        WITH said AS (
+            SELECT conv_id, role, turn, {_tokens('text', 1)} AS tokens FROM conversations),
+        words AS (
+            SELECT conv_id, role, turn, unnest(tokens) AS token,
+                   generate_subscripts(tokens, 1) AS i FROM said),
+        numbered AS (
+            SELECT role, token,
+                   row_number() OVER (PARTITION BY role ORDER BY conv_id, turn, i) - 1 AS n
+            FROM words)
+        SELECT role, cast(n // {q.CHUNK_TOKENS} AS BIGINT) AS chunk, count(*) AS n_tokens,
+               md5(string_agg(token, ',' ORDER BY n)) AS tokens_md5
+        FROM numbered GROUP BY role, n // {q.CHUNK_TOKENS}""",
     "sampled_tokens": f"""
         WITH {_DRAWN},
         said AS (

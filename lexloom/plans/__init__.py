@@ -2,7 +2,7 @@
 
 from lexloom.plans.classification import Classified, classify
 from lexloom.plans.clusters import ClusterProfile, cluster_profile
-from lexloom.plans.collecting import collect_by, token_bag
+from lexloom.plans.collecting import collect_by, collect_chunks, token_bag
 from lexloom.plans.drift import (
     drift_by_entity,
     drift_overall,
@@ -19,6 +19,7 @@ __all__ = [
     "classify",
     "cluster_profile",
     "collect_by",
+    "collect_chunks",
     "drift_by_entity",
     "drift_overall",
     "group_keywords",

@@ -58,6 +58,7 @@ REST_FRACTION = 0.1
 DRAW_RATE = 0.2
 DRAW_LIMIT = 1000
 CHUNKS = 4
+CHUNK_TOKENS = 500
 CHAIN_LABELS = ["en", "fr"]
 SMALL_DIMS = 8
 
@@ -383,6 +384,19 @@ def collect_by(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def collect_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """All tokens of each role in order, in arrays of 500."""
+    turns = _table(spark, sf, "conversations", "conv_id", "role", "turn", "text")
+    said = rows.with_tokens(turns, tokenise("text"), min_count=1)
+    found = plans.collect_chunks(said, ["role"], "tokens", ["conv_id", "turn"], CHUNK_TOKENS)
+    return found.select(
+        "role",
+        "chunk",
+        F.size("tokens").cast("long").alias("n_tokens"),
+        F.md5(join_tokens("tokens")).alias("tokens_md5"),
+    )
+
+
 def sampled_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """Draw rows with replacement, keep the first thousand, collect tokens per group."""
     turns = _table(spark, sf, "conversations", "conv_id", "role", "turn", "text")
@@ -826,6 +840,7 @@ QUERIES: dict[str, Query] = {
         keywords_by_slice,
         token_bag,
         collect_by,
+        collect_chunks,
         sampled_tokens,
         max_pool,
         mean_pool,

@@ -11,7 +11,14 @@ from lexloom.operators import embeddings as emb
 from lexloom.operators.metrics import f1_accuracy
 from lexloom.operators.sampling import sample
 from lexloom.operators.terms import fit_vocabulary, tfidf_vectors
-from lexloom.plans import classify, cluster_profile, collect_by, group_keywords, topics
+from lexloom.plans import (
+    classify,
+    cluster_profile,
+    collect_by,
+    collect_chunks,
+    group_keywords,
+    topics,
+)
 from lexloom.plans.topics import term_loadings
 from lexloom.sources import read_parquet, stage, with_slice
 
@@ -156,6 +163,26 @@ def test_collect_by_deals_every_group_alike_and_loses_nothing(spark):
     assert ids.distinct().count() == ids.count() == sampled.count()
 
 
+@pytest.mark.parametrize("most", [1, 7, 10_000])
+def test_chunks_are_cut_by_tokens(spark, most):
+    draw = np.random.default_rng(1)
+    rows = [(g, i, [f"{g}{i}.{j}" for j in range(draw.integers(0, 40))])
+            for g in ("a", None, "b") for i in range(60)]
+    rows += [("a", 3, ["twice"])] * 50 + [("c", 1, None), ("c", None, []), ("d", None, ["x"] * 3)]
+    df = spark.createDataFrame(rows, "g string, i int, t array<string>").repartition(5)
+    found = collect_chunks(df, ["g"], "t", ["i"], most).collect()
+    for group in ("a", None, "b", "c", "d"):
+        chunks = sorted((r.chunk, r.tokens) for r in found if r.g == group)
+        joined = [token for _, tokens in chunks for token in tokens]
+        assert [c for c, _ in chunks] == list(range(-(-len(joined) // most)))
+        assert all(len(tokens) == most for _, tokens in chunks[:-1])
+        own = [(i is not None, i or 0, t) for g, i, t in rows if g == group and t]
+        if group != "a":
+            assert joined == [token for *_, tokens in sorted(own) for token in tokens]
+        assert sorted(joined) == sorted(token for *_, tokens in own for token in tokens)
+    assert collect_chunks(df.limit(0), ["g"], "t", ["i"], most).count() == 0
+
+
 def test_slices_may_be_null_or_empty(spark):
     rows = [(s, t) for s in ("", None, "x") for t in (["a", "b"], ["a", "c", "c"], ["b", "c"])]
     df = spark.createDataFrame(rows, "s string, tokens array<string>")
