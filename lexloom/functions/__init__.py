@@ -5,8 +5,10 @@ from lexloom.functions.randomness import bucket, poisson_copies
 from lexloom.functions.text import (
     clean_tokens,
     join_tokens,
+    rule_tokenise,
     shrink,
     split_tokens,
+    token_rules,
     tokenise,
     without_words,
 )
@@ -32,9 +34,11 @@ __all__ = [
     "parse_year",
     "period_number",
     "poisson_copies",
+    "rule_tokenise",
     "shrink",
     "split_tokens",
     "to_vector",
+    "token_rules",
     "tokenise",
     "without_words",
 ]

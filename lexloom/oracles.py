@@ -12,6 +12,10 @@ def _list(values) -> str:
     return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
 
 
+def _quoted(text: str) -> str:
+    return text.replace("'", "''")
+
+
 def _bucket(*keys: str, purpose: str, seed: int = q.SEED) -> str:
     """The first 32 bits of a digest, as a share of their range."""
     parts = ", ".join(f"coalesce(cast({k} AS VARCHAR), '')" for k in keys)
@@ -330,6 +334,10 @@ SQL: dict[str, str] = {
         SELECT role, turn, chunk, cast(sum(len(tokens)) AS BIGINT) AS n_tokens,
                md5(string_agg(array_to_string(tokens, ','), ',' ORDER BY conv_id)) AS tokens_md5
         FROM dealt GROUP BY role, turn, chunk""",
+    "rule_tokens": f"""
+        SELECT doc_id, len(tokens) AS n_tokens, md5(array_to_string(tokens, ' ')) AS tokens_md5
+        FROM (SELECT doc_id, regexp_extract_all(text, '{_quoted(q.TOKEN_RULES)}') AS tokens
+              FROM documents)""",
     "collect_chunks": f"""
         WITH said AS (
             SELECT conv_id, role, turn, {_tokens('text', 1)} AS tokens FROM conversations),

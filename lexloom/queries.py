@@ -21,9 +21,11 @@ from lexloom.functions import (
     parse_date,
     parse_year,
     period_number,
+    rule_tokenise,
     shrink,
     split_tokens,
     to_vector,
+    token_rules,
     tokenise,
 )
 from lexloom.operators import embeddings as emb
@@ -59,6 +61,7 @@ DRAW_RATE = 0.2
 DRAW_LIMIT = 1000
 CHUNKS = 4
 CHUNK_TOKENS = 500
+TOKEN_RULES = token_rules(["e.g.", "i.e.", "Mr.", "Dr.", "z.B."])
 CHAIN_LABELS = ["en", "fr"]
 SMALL_DIMS = 8
 
@@ -224,6 +227,17 @@ def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counts.filter(F.col("term").isNotNull())
 
 
+def rule_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens by rules of every whole text: their number, and a digest of them in order."""
+    docs = _table(spark, sf, "documents", "doc_id", "text")
+    tokens = F.explode(F.array(rule_tokenise("text", TOKEN_RULES))).alias("tokens")
+    return docs.select("doc_id", tokens).select(
+        "doc_id",
+        F.size("tokens").cast("long").alias("n_tokens"),
+        F.md5(join_tokens("tokens", " ")).alias("tokens_md5"),
+    )
+
+
 def period_numbers(spark: SparkSession, sf: str) -> DataFrame:
     """`period 3` is read as 3, `period review 3` as null; periods in ascending order."""
     turns = _table(spark, sf, "conversations", "turn", "role")
@@ -821,6 +835,7 @@ QUERIES: dict[str, Query] = {
         joined_tokens,
         cleaned_arrays,
         token_counts,
+        rule_tokens,
         period_numbers,
         years,
         null_profile,

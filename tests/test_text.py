@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -12,8 +13,10 @@ from lexloom.functions import (
     parse_date,
     parse_year,
     period_number,
+    rule_tokenise,
     shrink,
     split_tokens,
+    token_rules,
     tokenise,
     without_words,
 )
@@ -119,3 +122,32 @@ def test_group_counts_of_a_null_key(spark):
 def test_exact_length(spark):
     df = spark.createDataFrame([([1.0, 2.0],), ([1.0],), (None,)], "v array<double>")
     assert exact_length(df, "v", 2).count() == 1
+
+
+RULE_CASES = [
+    (None, None),
+    ("", []),
+    (" \n\t ", []),
+    ("Well-known, isn't it?", ["Well-known", ",", "isn't", "it", "?"]),
+    ("(He said: \"no.\")", ["(", "He", "said", ":", '"', "no", ".", '"', ")"]),
+    ("L'eau qu’il n'aime", ["L'", "eau", "qu’", "il", "n'", "aime"]),
+    ("aujourd'hui and/or AT&T", ["aujourd'hui", "and/or", "AT&T"]),
+    ("in the U.S.A. today.", ["in", "the", "U.S.A.", "today", "."]),
+    ("3.14 1.000.000 10%", ["3.14", "1.000.000", "10", "%"]),
+    ("z.B. Dr. No, e.g.", ["z.B.", "Dr.", "No", ",", "e.g."]),
+    ("-- 'a' b--c", ["-", "-", "'", "a", "'", "b", "-", "-", "c"]),
+    ("Straße e\u0301t\u00e9 日本語。", ["Straße", "e\u0301t\u00e9", "日本語", "。"]),
+    ("x\u00a0y\u3000z 😀!", ["x", "y", "z", "😀", "!"]),
+    ("a.b. a..b", ["a.b", ".", "a", ".", ".", "b"]),
+]
+
+
+def test_tokens_by_rules(spark):
+    rules = token_rules(["e.g.", "z.B.", "Dr."])
+    df = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(RULE_CASES)], "i int, t string")
+    found = df.select("i", rule_tokenise("t", rules).alias("x")).orderBy("i").collect()
+    assert [r.x for r in found] == [tokens for _, tokens in RULE_CASES]
+    (plain,) = df.filter("i = 5").select(rule_tokenise("t", token_rules(joiners="", elided=()))).first()
+    assert plain == ["L", "'", "eau", "qu", "’", "il", "n", "'", "aime"]
+    with pytest.raises(ValueError, match="end in a symbol"):
+        token_rules(["etc"])
