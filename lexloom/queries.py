@@ -559,7 +559,7 @@ def word2vec_nearest(spark: SparkSession, sf: str) -> DataFrame:
 
 def _paragraph_vectors(spark: SparkSession, sf: str) -> DataFrame:
     docs = stage(_documents(spark, sf, "doc_id", "source", "lang"), "doc-tokens")
-    return fit_paragraphs(docs, "tokens", epochs=16, settings=Settings(seed=SEED))[1]
+    return fit_paragraphs(docs, "tokens", epochs=12, settings=Settings(dims=32, seed=SEED))[1]
 
 
 def paragraph_nearest(spark: SparkSession, sf: str) -> DataFrame:
