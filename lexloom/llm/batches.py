@@ -74,6 +74,17 @@ def unused(taken: Sequence[str], *names: str) -> list[str]:
     return out
 
 
+def without_results(df: DataFrame, results: Sequence[str], inputs: Sequence[str]) -> DataFrame:
+    """`df` without the columns that have, in any case, names of results.
+
+    An input cannot give way, so one with such a name is an error.
+    """
+    lower = {name.lower() for name in results}
+    if clash := [name for name in inputs if name.lower() in lower]:
+        raise ValueError(f"inputs have names of results: {sorted(clash)}")
+    return df.select(*[F.col(quoted(c)) for c in df.columns if c.lower() not in lower])
+
+
 _held: tuple[Hashable, Any] | None = None
 
 

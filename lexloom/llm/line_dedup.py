@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.batches import map_columns, quoted, unused
+from lexloom.llm.batches import map_columns, quoted, unused, without_results
 from lexloom.sources import Staging, stage
 
 # A run of fewer words is no repeated passage.
@@ -178,10 +178,10 @@ def dedup_lines(
     that overlap their first occurrence stay. deleted_runs has the numbers (from 0) of the first
     and last lines. Rows with equal key and text are one document and come out alike; rows
     with a null key come last, ordered by their texts' hashes. A null text stays null. Very
-    long texts and lines are compared whole; an empty table gives no rows.
+    long texts and lines are compared whole; an empty table gives no rows. Another column named
+    deleted_runs gives way to the result.
     """
-    if "deleted_runs" in docs.columns:
-        raise ValueError("columns have names of results: deleted_runs")
+    docs = without_results(docs, ["deleted_runs"], [key, text])
     names = unused(docs.columns, "document_key", "text_hash", "text_spans")
     later = _later_windows(docs, key, text, min_words).toDF(*names)
     own = F.xxhash64(F.col(quoted(text))) == F.col(names[1])

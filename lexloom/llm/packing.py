@@ -37,6 +37,7 @@ from lexloom.llm.batches import (
     quoted,
     released,
     ship,
+    without_results,
 )
 from lexloom.llm.token_counts import byte_characters
 from lexloom.sources import Staging, stage
@@ -329,11 +330,10 @@ def pack(
     tokens at most. Lengths must be 1 to `capacity`; others, and null, are an error. Which of
     the pieces of one length gets which place is arbitrary. An empty table gives no rows.
     With `numbered`, the columns length_task and length_number are those that
-    `tokenized_pieces` made for exactly these rows; the result does not have them.
+    `tokenized_pieces` made for exactly these rows; the result does not have them. Other columns
+    with names of results give way to them.
     """
-    clashing = {"sequence_id", "offset"} & set(pieces.columns)
-    if clashing:
-        raise ValueError(f"columns have names of results: {sorted(clashing)}")
+    pieces = without_results(pieces, ["sequence_id", "offset"], [length])
     given = ["length_task", "length_number"] if numbered else []
     wrapped = pieces.select(
         F.struct(*[F.col(quoted(c)) for c in pieces.columns if c not in given]).alias("row"),

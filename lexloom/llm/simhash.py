@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.batches import map_columns, quoted, released, ship
+from lexloom.llm.batches import map_columns, quoted, released, ship, unused, without_results
 from lexloom.llm.components import connected_components
 from lexloom.sources import Staging, stage
 
@@ -225,10 +225,11 @@ def near_groups(
     Two rows are linked if their fingerprints differ in at most `radius` bits, and a row
     reaches what is linked to it directly or through others. `docs` is read twice, so it
     should be a staged table. Rows with a null key link others but never name a component;
-    one without any key has a null component_id. Rows with a null fingerprint get nulls.
+    one without any key has a null component_id. Rows with a null fingerprint get nulls. Other
+    columns of `docs` with names of results give way to them.
     """
-    if clash := {"component_id", "component_root", "__fingerprint"} & set(docs.columns):
-        raise ValueError(f"columns have names of results: {sorted(clash)}")
+    docs = without_results(docs, ["component_id", "component_root"], [fingerprint, key])
+    (joined,) = unused(docs.columns, "joined_fingerprint")
     prints = docs.groupBy(F.col(quoted(fingerprint)).alias("fingerprint")).agg(
         F.min(F.col(quoted(key))).alias("first")
     )
@@ -241,10 +242,10 @@ def near_groups(
         )
         least = named.groupBy("root").agg(F.min("first").alias("component_id"))
         named = named.join(least, "root").select(
-            F.col("fingerprint").alias("__fingerprint"),
+            F.col("fingerprint").alias(joined),
             "component_id",
             F.col("root").alias("component_root"),
         )
         named = stage(named, "components")
-    same = F.col(quoted(fingerprint)) == F.col("__fingerprint")
-    return docs.join(named, same, "left").drop("__fingerprint")
+    same = F.col(quoted(fingerprint)) == F.col(joined)
+    return docs.join(named, same, "left").drop(joined)

@@ -106,8 +106,13 @@ def test_null_keys_and_repeats(spark):
     found = simhash.near_groups(df).select("fingerprint", "component_id").collect()
     expected = [(8, 5), (8, 5), (8, 5), (far, None), (None, None)]
     assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+    clash = df.select("*", F.lit("x").alias("Component_ID"), F.lit(1).alias("joined_fingerprint"))
+    again = simhash.near_groups(clash)
+    assert again.columns == [*df.columns, "joined_fingerprint", "component_id", "component_root"]
+    again = again.select("fingerprint", "component_id").collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(expected, key=repr)
     with pytest.raises(ValueError, match="names of results"):
-        simhash.near_groups(df.withColumn("component_id", F.lit(1)))
+        simhash.near_groups(df.withColumnRenamed("doc_id", "component_id"), key="component_id")
 
 
 @pytest.mark.parametrize("share", [500_000, 10])

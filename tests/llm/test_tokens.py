@@ -217,5 +217,10 @@ def test_pack_keeps_columns_and_refuses_bad_lengths(spark):
     for bad in (0, 11, None):
         with pytest.raises(ValueError, match="lengths"):
             pack(spark.createDataFrame([(bad,)], "length int"), 10)
+    clash = pack(df.withColumnRenamed("part", "Offset"), 10)
+    assert clash.columns == ["id", "length", "sequence_id", "offset"]
+    rows = clash.collect()
+    assert sorted((r.id, r.length) for r in rows) == sorted((r.id, r.length) for r in df.collect())
+    _check_packed(rows, 10)
     with pytest.raises(ValueError, match="names of results"):
-        pack(df.withColumnRenamed("part", "offset"), 10)
+        pack(df.withColumnRenamed("length", "offset"), 10, length="offset")
