@@ -367,6 +367,9 @@ SQL: dict[str, str] = {
     "nearest_k": _nearest(
         "vectors AS (SELECT vec_id, cast(embedding AS DOUBLE[]) AS v FROM embeddings)", "vec_id", 10
     ),
+    "nearest_by_bounds": _nearest(
+        "vectors AS (SELECT vec_id, cast(embedding AS DOUBLE[]) AS v FROM embeddings)", "vec_id", 10
+    ),
     "most_similar_labels": _nearest(
         f"""{_LONG_VECTORS},
         pooled AS (SELECT label, i, max(value) AS value FROM values_of GROUP BY label, i),

@@ -31,6 +31,7 @@ from lexloom.functions import (
 from lexloom.operators import embeddings as emb
 from lexloom.operators import metrics, rows, sampling, terms
 from lexloom.operators.nearest import nearest
+from lexloom.operators.pivots import nearest_by_pivots
 from lexloom.operators.paragraphs import DIMS as PARAGRAPH_DIMS
 from lexloom.operators.paragraphs import Settings, fit_paragraphs, load_paragraphs
 from lexloom.operators.pooling import pool
@@ -450,6 +451,12 @@ def nearest_k(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("vec_id", "other", _r("similarity").alias("similarity"), "rank")
 
 
+def nearest_by_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """The same neighbours, cells of vectors left out where bounds on angles allow it."""
+    found = nearest_by_pivots(_vectors(spark, sf), "vec_id", "embedding", k=10)
+    return found.select("vec_id", "other", _r("similarity").alias("similarity"), "rank")
+
+
 def most_similar_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Vectors of a label pooled to one, then the most similar labels."""
     found = plans.most_similar(_vectors(spark, sf), "label", "embedding", DIMS, k=3)
@@ -861,6 +868,7 @@ QUERIES: dict[str, Query] = {
         mean_pool,
         max_pool_all,
         nearest_k,
+        nearest_by_bounds,
         most_similar_labels,
         similarity_to_label,
         vector_cases,
