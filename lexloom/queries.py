@@ -539,19 +539,19 @@ def embedding_means(spark: SparkSession, sf: str) -> DataFrame:
     """Documents, and those whose vector is not the mean of their words' vectors."""
     docs = stage(_documents(spark, sf, "doc_id"), "doc-tokens")
     model = emb.fit_embedding(docs, "tokens", SEED, dims=SMALL_DIMS)
+    values = vector_to_array("vector")
     words = model.getVectors().select(
-        F.col("word").alias("token"), F.posexplode(vector_to_array("vector")).alias("i", "value")
-    )
-    tokens = docs.select("doc_id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    means = tokens.join(words, "token").groupBy("doc_id", "i").agg(
-        (F.sum("value") / F.first("n")).alias("mean")
-    )
-    embedded = emb.embed(docs, model, "tokens").select(
-        "doc_id", F.posexplode("embedding").alias("i", "value")
-    )
-    both = embedded.join(means, ["doc_id", "i"], "left")
-    off = F.abs(F.col("value") - F.coalesce("mean", F.lit(0.0))) > 1e-5
-    by_doc = both.groupBy("doc_id").agg(F.bool_or(off).alias("off"))
+        F.col("word").alias("term"), *[values[i].alias(f"v{i}") for i in range(SMALL_DIMS)]
+    )
+    counted = terms.term_rows(docs.withColumn("n", F.size("tokens")), ["doc_id", "n"], "tokens")
+    sums = [F.sum(F.col(f"v{i}") * F.col("tf")) / F.first("n") for i in range(SMALL_DIMS)]
+    means = counted.join(words, "term").groupBy("doc_id").agg(F.array(*sums).alias("mean"))
+    embedded = emb.embed(docs, model, "tokens").select("doc_id", "embedding")
+    both = embedded.join(means, "doc_id", "left")
+    mean = F.coalesce("mean", F.array_repeat(F.lit(0.0), SMALL_DIMS))
+    apart = F.zip_with("embedding", mean, lambda a, b: F.abs(a - b) > 1e-5)
+    both = both.select("doc_id", F.exists(apart, lambda x: x).alias("off"))
+    by_doc = both.groupBy("doc_id").agg(F.bool_or("off").alias("off"))
     return by_doc.agg(F.count(F.lit(1)).alias("n"), F.count_if("off").alias("differing"))
 
 
