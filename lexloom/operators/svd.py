@@ -24,7 +24,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -82,25 +82,49 @@ def truncated_svd(
     with Staging(entries.sparkSession) as staging:
         sizes = rows.select("part", "row").distinct().groupBy("part").agg(F.count("*").alias("n"))
         blocks = F.ceil(F.col("n") / block_rows).cast("int")
-        dealt = rows.join(sizes, "part").withColumn("blocks", blocks)
-        dealt = dealt.withColumn("block", F.pmod(F.xxhash64("row"), "blocks").cast("int"))
-        packed = staging.write(_packed(dealt), "svd-blocks")
+        several = sizes.filter(F.col("n") > block_rows).select("part", blocks.alias("several"))
+        several = staging.write(several, "svd-sizes")
+        dealt = _dealt(rows, several)
+        apart = _apart(several.agg(F.sum("several")).first()[0] or 0, entries.sparkSession)
+        packed = staging.write(_packed(dealt, apart), "svd-blocks")
         found = packed.filter("blocks = 1").mapInArrow(_tools().solver(k), _FOUND)
         large = packed.filter("blocks > 1")
         if not large.isEmpty():
-            found = found.union(_iterated(large, k, staging))
+            found = found.union(_iterated(large, k, staging, apart))
         columns = ["_part_hash", "concept", "singular_value", "_term_hash", "_weight"]
         named = found.toDF(*columns).join(names, "_term_hash").join(values, "_part_hash")
         result = named.select(of, "concept", "singular_value", of_term, F.col("_weight").alias(weight))
         return stage(result, "svd")
 
 
-def _packed(dealt: DataFrame) -> DataFrame:
+def _dealt(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """Each row's block. Rows are never shuffled by part, as there may be one part only.
+
+    There are fewer parts of several blocks than blocks, so that they can be sent to all tasks.
+    """
+    dealt = rows.join(F.broadcast(several), "part", "left")
+    dealt = dealt.withColumn("blocks", F.coalesce("several", F.lit(1))).drop("several")
+    return dealt.withColumn("block", F.pmod(F.xxhash64("row"), "blocks").cast("int"))
+
+
+def _apart(blocks: int, spark: SparkSession) -> int:
+    """Partitions enough for some blocks."""
+    return max(2 * blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _together(rows: DataFrame, partitions: int) -> DataFrame:
+    """The rows of a block in one task, the blocks of a part in tasks of their own."""
+    first = F.pmod("part", F.lit(partitions))
+    number = F.pmod(first + F.col("block"), F.lit(partitions)).cast("int")
+    return rows.repartitionById(partitions, number)
+
+
+def _packed(dealt: DataFrame, partitions: int) -> DataFrame:
     """A row per block: its terms in order, where the entries of each end, rows and weights."""
     kind = T.StructType.fromDDL(_PACKED)
     arrow = to_arrow_schema(kind, prefers_large_types=False)
     columns = dealt.select("part", "blocks", "block", "term_hash", "row", "weight")
-    together = columns.repartition("part", "block")
+    together = _together(columns, partitions)
     ordered = together.sortWithinPartitions("part", "block", "term_hash", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,7 +376,7 @@ def _tools() -> SimpleNamespace:
     )
 
 
-def _iterated(packed: DataFrame, k: int, staging: Staging) -> DataFrame:
+def _iterated(packed: DataFrame, k: int, staging: Staging, partitions: int) -> DataFrame:
     """The decompositions of matrices of several blocks; all of them together, round by round."""
     tools, width = _tools(), k + EXTRA
     meeting = staging.write(
@@ -389,7 +413,8 @@ def _iterated(packed: DataFrame, k: int, staging: Staging) -> DataFrame:
             "v",
         )
         order = ["part", "block", "kind", "term_hash"]
-        rows = head.union(sent).repartition("part", "block").sortWithinPartitions(*order)
+        rows = _together(head.union(sent), partitions)
+        rows = rows.sortWithinPartitions(*order)
         made = rows.mapInArrow(tools.multiplier(width), _MOVED)
         sums = F.expr(f"array({', '.join(f'sum(v[{i}])' for i in range(width))})").alias("v")
         summed = staging.write(made.groupBy("part", "term_hash", "line").agg(sums), "svd-round")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from lexloom.operators import svd
 from lexloom.operators.svd import truncated_svd
 
@@ -89,3 +91,19 @@ def test_nothing_and_clashing_names(spark):
     assert truncated_svd(empty, 3).collect() == []
     with pytest.raises(ValueError, match="names of results"):
         truncated_svd(empty.withColumnRenamed("part", "concept"), 3, part="concept")
+
+
+def test_blocks_of_a_part_are_tasks_of_their_own(spark):
+    """Neither the join with the sizes nor the packing brings a part to one task."""
+    rows = spark.range(4000).selectExpr("id % 1 + 7 AS part", "id % 900 AS row", "id AS term_hash", "1D AS weight")
+    several = spark.createDataFrame([(7, 6)], "part bigint, several int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = svd._dealt(rows, several)
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning(part" not in plan
+        placed = svd._together(dealt, 8).select("block", F.spark_partition_id().alias("at"))
+        placed = {(r.block, r.at) for r in placed.distinct().collect()}
+        assert len(placed) == 6 == len({at for _, at in placed})
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
