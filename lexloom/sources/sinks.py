@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from lexloom.sources.staging import shuffles_removed
+
 
 def append_json(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
@@ -18,7 +20,8 @@ def append_csv(df: DataFrame, path: str) -> None:
     null for both.
     """
     options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.mode("append").options(header=True, escape='"', **options).csv(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.mode("append").options(header=True, escape='"', **options).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "append") -> None:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +114,27 @@ def test_staged_tables_lie_in_the_folder_the_session_names(spark):
     assert staged.count() == 5
 
 
+def _shuffle_files(spark) -> int:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return files.mkString("\n").count("shuffle_")
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark, tmp_path):
+    """They go when the table is written, also while something still refers to its plan."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    shuffled = spark.range(1000).selectExpr("id", "id % 7 AS k").repartition(5, "k")
+    there = _shuffle_files(spark)
+    staged = stage(shuffled, "shuffled")
+    append_csv(shuffled, str(tmp_path / "csv"))
+    for _ in range(50):
+        if _shuffle_files(spark) <= there:
+            break
+        time.sleep(0.2)
+    assert _shuffle_files(spark) <= there and staged.count() == shuffled.count() == 1000
+    assert spark.conf.get(key, None) == before
+
+
 class _Session:
     """A session without a checkpoint folder."""
 
