@@ -7,7 +7,8 @@ the words around it from words drawn at random. The corpus is dealt to parts of
 number of tokens. A task holds one part's words and lets its documents pass; what the parts
 make of a word is averaged, in proportion to how often they used it, before the next
 iteration. Vectors are rows of a table from first to last, so the vocabulary has to fit
-neither on the driver nor in a task, and what is shuffled follows the number of parts.
+neither on the driver nor in a task. Parts are gone through in waves of a bounded number, and
+each wave's words join the mean so far, so the disk never holds more than the words of a wave.
 
 Words are known by a 64-bit hash while they are trained.
 """
@@ -21,11 +22,23 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from lexloom.operators.blocks import (
+    apart,
+    averaged,
+    of_wave,
+    to_bytes,
+    to_lists,
+    tools,
+    union,
+    used_words,
+    wave_of,
+    wave_size,
+)
 from lexloom.sources import read_parquet
 from lexloom.sources.staging import Staging, stage
 
@@ -45,9 +58,12 @@ DRAW_POWER = 0.75
 # step of a vector in one go.
 STEP, LAST_STEP, LONGEST_STEP = 0.025, 1e-4, 1.0
 
-_TRAINED = "word bigint, part int, vector array<float>, out array<float>, weight double"
-_AVERAGED = "word bigint, vector array<float>, out array<float>"
-_ADDED = "number bigint, vector array<double>"
+# What passes the tasks: a word's own vector and its outer one behind it, as bytes.
+_DOCUMENTS = "block int, number bigint, words binary"
+_TRAINED = "block int, word bigint, n bigint, vector binary, weight double"
+_WORDS = "word bigint, vector binary"
+_MODEL = "word string, hash bigint, vector array<float>"
+_ADDED = "number bigint, vector binary"
 
 
 @dataclass(frozen=True)
@@ -93,22 +109,34 @@ def fit_embedding(
         if counts.isEmpty():
             raise ValueError(f"no word occurs {min_count} times")
         parts, mean = _parts(docs, partitions, part_tokens)
-        none = F.lit(None).cast("array<float>")
-        words = counts.select(
-            F.col("hash").alias("word"), "n", none.alias("vector"), none.alias("out")
-        )
-        used = staging.write(_used(docs, parts), "embedding-words")
+        given, wave = _dealt(docs, parts, staging)
+        hashed = counts.select(F.col("hash").alias("word"), "n")
+        used = staging.write(used_words(given).join(hashed, "word"), "embedding-words", ["wave"])
+        words = None
         for number in range(iterations):
-            rows = _meeting(docs, used, words, parts)
-            work = _trainer(seed, dims, number, iterations, mean)
-            made = rows.mapInArrow(work, _TRAINED)
-            ordered = made.repartition("word").sortWithinPartitions("word", "part")
-            learnt = staging.write(ordered.mapInArrow(_averager(), _AVERAGED), "embedding-round")
-            words = counts.select(F.col("hash").alias("word"), "n").join(learnt, "word")
+            means, work = None, _trainer(seed, dims, number, iterations, mean)
+            for turn in range(-(-parts // wave)):
+                known = of_wave(used, turn)
+                if words is None:
+                    known = known.withColumn("vector", F.lit(None).cast("binary"))
+                else:
+                    known = known.join(words.select("word", "vector"), "word")
+                rows = _meeting(of_wave(given, turn), known, wave)
+                made = rows.mapInArrow(work, _TRAINED)
+                made = made if means is None else made.union(means)
+                learnt = staging.write(averaged(made), "embedding-round")
+                if means is not None:
+                    staging.drop(means)
+                means = learnt
+            if words is not None:
+                staging.drop(words)
+            words = means
+        own = F.expr(f"substring(vector, 1, {4 * dims})").alias("vector")
         named = counts.select("word", "hash").join(
-            learnt.select(F.col("word").alias("hash"), "vector"), "hash"
+            words.select(F.col("word").alias("hash"), own), "hash"
         )
-        return EmbeddingModel(stage(named.select("word", "hash", "vector"), "word-vectors"), dims)
+        listed = named.select("word", "hash", "vector").mapInArrow(to_lists(_MODEL), _MODEL)
+        return EmbeddingModel(stage(listed, "word-vectors"), dims)
 
 
 def load_embedding(path: str) -> EmbeddingModel:
@@ -130,28 +158,37 @@ def embed(
     """
     columns = [c for c in df.columns if c != output]
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
-    docs = stage(_numbered(df, tokens, row), "embedding-rows")
-    parts, _ = _parts(docs, PARTITIONS, part_tokens)
-    none = F.lit(None)
-    words = model.words.select(
-        F.col("hash").alias("word"),
-        none.cast("bigint").alias("n"),
-        "vector",
-        none.cast("array<float>").alias("out"),
-    )
-    # Rows stay where they are: only their words and vectors pass a task.
-    meeting = _meeting(docs.select("number", "words"), _used(docs, parts), words, parts)
-    made = meeting.mapInArrow(_adder(model.dims), _ADDED)
+    numbered = df.select(F.monotonically_increasing_id().alias("number"), row)
+    docs = stage(numbered, "embedding-rows")
+    with Staging(df.sparkSession) as staging:
+        hashes = docs.select("number", _hashes(F.col("row")[tokens]))
+        parts, _ = _parts(hashes, PARTITIONS, part_tokens)
+        given, wave = _dealt(hashes, parts, staging)
+        words = model.words.select(F.col("hash").alias("word"), "vector")
+        words = staging.write(words.mapInArrow(to_bytes(_WORDS), _WORDS), "embedding-vectors")
+        used = staging.write(used_words(given), "embedding-words", ["wave"])
+        made = []
+        # Rows stay where they are: only their words and vectors pass a task.
+        for turn in range(-(-parts // wave)):
+            known = of_wave(used, turn).join(words, "word")
+            known = known.withColumn("n", F.lit(None).cast("bigint"))
+            meeting = _meeting(of_wave(given, turn), known, wave)
+            added = meeting.mapInArrow(_adder(model.dims), _ADDED)
+            made.append(stage(added, "document-vectors"))
     kept = [F.col("row")[c].alias(c) for c in columns]
-    joined = docs.select("number", "row").join(made, "number")
+    kind = "number bigint, vector array<double>"
+    joined = docs.join(union(made).mapInArrow(to_lists(kind), kind), "number")
     return joined.select(*kept, F.col("vector").alias(output))
 
 
-def _numbered(df: DataFrame, tokens: str, *more) -> DataFrame:
-    """(number, words, more…): a number per row, so that no key is too frequent."""
-    found = F.coalesce(F.col(f"`{tokens}`"), F.array().cast("array<string>"))
-    hashes = F.transform(found, lambda t: F.xxhash64(t)).alias("words")
-    return df.select(F.monotonically_increasing_id().alias("number"), hashes, *more)
+def _hashes(tokens: Column) -> Column:
+    found = F.coalesce(tokens, F.array().cast("array<string>"))
+    return F.transform(found, lambda t: F.xxhash64(t)).alias("words")
+
+
+def _numbered(df: DataFrame, tokens: str) -> DataFrame:
+    """(number, words): a number per row, so that no key is too frequent."""
+    return df.select(F.monotonically_increasing_id().alias("number"), _hashes(F.col(f"`{tokens}`")))
 
 
 def _parts(docs: DataFrame, least: int, part_tokens: int) -> tuple[int, int]:
@@ -161,55 +198,44 @@ def _parts(docs: DataFrame, least: int, part_tokens: int) -> tuple[int, int]:
     return parts, max(1, total // parts)
 
 
-def _part(parts: int):
-    return F.pmod(F.xxhash64("number"), F.lit(parts)).cast("int").alias("part")
-
-
-def _used(docs: DataFrame, parts: int) -> DataFrame:
-    """(part, word): the different words of each part."""
-    words = F.explode(F.array_distinct("words")).alias("word")
-    return docs.select(_part(parts), words).distinct()
+def _dealt(docs: DataFrame, parts: int, staging: Staging) -> tuple[DataFrame, int]:
+    """(block, number, words, wave), a part being a block, and how many parts are a wave."""
+    wave = wave_size(parts, docs.sparkSession)
+    block = F.pmod(F.xxhash64("number"), F.lit(parts)).cast("int").alias("block")
+    rows = docs.select(block, "number", "words").mapInArrow(to_bytes(_DOCUMENTS), _DOCUMENTS)
+    return staging.write(rows.select("*", wave_of(wave)), "embedding-parts", ["wave"]), wave
 
 
-def _meeting(docs: DataFrame, used: DataFrame, words: DataFrame, parts: int) -> DataFrame:
+def _meeting(docs: DataFrame, known: DataFrame, wave: int) -> DataFrame:
     """Part by part its known words (kind 0) in order of their hashes, then its documents."""
     none = F.lit(None)
-    sent = used.join(words, "word").select(
-        "part",
+    sent = known.select(
+        "block",
         F.lit(0).alias("kind"),
         F.col("word").alias("number"),
         "n",
-        none.cast("array<bigint>").alias("words"),
+        none.cast("binary").alias("words"),
         "vector",
-        "out",
     )
     passing = docs.select(
-        _part(parts),
+        "block",
         F.lit(1).alias("kind"),
         "number",
         none.cast("bigint").alias("n"),
         "words",
-        none.cast("array<float>").alias("vector"),
-        none.cast("array<float>").alias("out"),
+        none.cast("binary").alias("vector"),
     )
-    rows = sent.union(passing).repartitionById(parts, F.col("part"))
-    return rows.sortWithinPartitions("part", "kind", "number")
+    return apart(sent.union(passing), wave, "kind", "number")
 
 
 def _tools() -> SimpleNamespace:
     """What tasks work with: functions of their own, which need only NumPy and Arrow there."""
-
-    def matrix(column: pa.Array, dims: int) -> np.ndarray:
-        return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
-
-    def listed(values: np.ndarray, kind: pa.DataType) -> pa.Array:
-        ends = pa.array(np.arange(0, values.size + 1, values.shape[1], dtype=np.int32))
-        return pa.ListArray.from_arrays(ends, pa.array(values.ravel())).cast(kind)
+    opened = tools().opened
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
         """(part, kind, rows): runs of rows of one part and kind; arrays are never sliced further."""
         for batch in batches:
-            parts, kinds = (batch.column(x).to_numpy() for x in ("part", "kind"))
+            parts, kinds = (batch.column(x).to_numpy() for x in ("block", "kind"))
             edges = np.flatnonzero((parts[1:] != parts[:-1]) | (kinds[1:] != kinds[:-1])) + 1
             for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
                 if a < b:
@@ -217,23 +243,24 @@ def _tools() -> SimpleNamespace:
 
     def find(hashes: np.ndarray, lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where the known words of the lists are in `hashes`, their lists, and all lengths."""
-        lengths = np.diff(lists.offsets.to_numpy())
-        flat, owner = lists.flatten().to_numpy(), np.repeat(np.arange(lengths.size), lengths)
+        flat, ends = opened(lists, np.int64)
+        lengths = np.diff(ends)
+        owner = np.repeat(np.arange(lengths.size), lengths)
         if not hashes.size:
             return np.empty(0, np.int64), np.empty(0, np.int64), lengths
         at = np.minimum(np.searchsorted(hashes, flat), hashes.size - 1)
         known = hashes[at] == flat
         return at[known], owner[known], lengths
 
-    return SimpleNamespace(matrix=matrix, listed=listed, ranges=ranges, find=find)
+    return SimpleNamespace(opened=opened, closed=tools().closed, ranges=ranges, find=find)
 
 
 def _trainer(
     seed: int, dims: int, number: int, iterations: int, mean: int
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The work of a task; it needs nothing but NumPy and Arrow on a worker."""
-    tools = _tools()
-    matrix, listed, ranges, find = tools.matrix, tools.listed, tools.ranges, tools.find
+    own = _tools()
+    opened, closed, ranges, find = own.opened, own.closed, own.ranges, own.find
     window, negatives, together, drawn = WINDOW, NEGATIVES, TOGETHER, DRAWN
     power, step, last_step, longest = DRAW_POWER, STEP, LAST_STEP, LONGEST_STEP
     schema = to_arrow_schema(T.StructType.fromDDL(_TRAINED), prefers_large_types=False)
@@ -251,20 +278,19 @@ def _trainer(
         return ((x / 2.0**64 - 0.5) / dims).astype(np.float32)
 
     class Part:
-        def __init__(self, part: int, held: list[pa.RecordBatch]):
-            column = lambda name: [x.column(name) for x in held]
-            chunks = [x.to_numpy() for x in column("number")]
+        def __init__(self, part: int, held: list[tuple]):
             self.part = part
-            self.hashes = np.concatenate(chunks) if chunks else np.empty(0, np.int64)
-            if number == 0 or not chunks:
+            numbers, n, vectors = zip(*held) if held else ([], [], [])
+            self.hashes = np.concatenate([*numbers, np.empty(0, np.int64)])
+            self.n = np.concatenate([*n, np.empty(0, np.int64)])
+            if number == 0:
                 self.vectors = started(self.hashes)
                 self.out = np.zeros_like(self.vectors)
             else:
-                self.vectors = np.concatenate([matrix(x, dims) for x in column("vector")])
-                self.out = np.concatenate([matrix(x, dims) for x in column("out")])
+                both = np.concatenate([*vectors, np.empty(0, np.float32)]).reshape(-1, 2 * dims)
+                self.vectors, self.out = both[:, :dims].copy(), both[:, dims:].copy()
             self.weights = np.zeros(self.hashes.size)
-            n = [x.to_numpy().astype(np.float64) for x in column("n")]
-            frequency = (np.concatenate(n) if n else np.empty(0)) ** power
+            frequency = self.n.astype(np.float64) ** power
             self.bounds = np.cumsum(frequency) / max(frequency.sum(), 1e-300)
             self.draw = np.random.default_rng([seed & (2**63 - 1), number, part])
             self.passed = 0
@@ -326,11 +352,12 @@ def _trainer(
             for a in range(0, self.hashes.size, 4096):
                 some = slice(a, a + 4096)
                 n = len(self.hashes[some])
+                both = np.concatenate((self.vectors[some], self.out[some]), axis=1)
                 columns = [
-                    pa.array(self.hashes[some]),
                     pa.array(np.full(n, self.part, np.int32)),
-                    listed(self.vectors[some], schema.field("vector").type),
-                    listed(self.out[some], schema.field("out").type),
+                    pa.array(self.hashes[some]),
+                    pa.array(self.n[some]),
+                    closed(both.ravel(), np.arange(0, both.size + 1, 2 * dims)),
                     # A word that met nobody keeps its vector, at next to no weight.
                     pa.array(self.weights[some] + 1e-9),
                 ]
@@ -344,7 +371,8 @@ def _trainer(
                     yield from now.rows()
                 part, held, now = own, [], None
             if kind == 0:
-                held.append(rows)
+                columns = [rows.column(x).to_numpy().copy() for x in ("number", "n")]
+                held.append((*columns, opened(rows.column("vector"), np.float32)[0].copy()))
                 continue
             if now is None:
                 now, held = Part(part, held), []
@@ -356,54 +384,11 @@ def _trainer(
     return run
 
 
-def _averager() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Means of a word's vectors by weight, from rows in order of words."""
-    listed = _tools().listed
-    schema = to_arrow_schema(T.StructType.fromDDL(_AVERAGED), prefers_large_types=False)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(words, sums, weights) -> pa.RecordBatch:
-            means = (sums / weights[:, None]).astype(np.float32)
-            half = means.shape[1] // 2
-            columns = [pa.array(words)]
-            columns += [
-                listed(x, schema.field(1).type)
-                for x in (np.ascontiguousarray(means[:, :half]), np.ascontiguousarray(means[:, half:]))
-            ]
-            return pa.RecordBatch.from_arrays(columns, schema=schema)
-
-        last = None  # the word at the end so far: its rows may go on
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            words, weights = batch.column("word").to_numpy(), batch.column("weight").to_numpy()
-            values = [
-                batch.column(x).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-                for x in ("vector", "out")
-            ]
-            values = np.concatenate(values, axis=1).astype(np.float64) * weights[:, None]
-            if last is not None:
-                words = np.append(last[0], words)
-                values = np.concatenate((last[1], values))
-                weights = np.append(last[2], weights)
-            starts = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
-            sums, total = np.add.reduceat(values, starts), np.add.reduceat(weights, starts)
-            words = words[starts]
-            last = words[-1:], sums[-1:], total[-1:]
-            if words.size > 1:
-                yield out(words[:-1], sums[:-1], total[:-1])
-        if last is not None:
-            yield out(*last)
-
-    return run
-
-
 def _adder(dims: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Sums of word vectors by the number of tokens, in the order of the tokens."""
     schema = to_arrow_schema(T.StructType.fromDDL(_ADDED), prefers_large_types=False)
-    tools = _tools()
-    matrix, listed, ranges, find = tools.matrix, tools.listed, tools.ranges, tools.find
+    own = _tools()
+    opened, closed, ranges, find = own.opened, own.closed, own.ranges, own.find
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, hashes, vectors = None, [], None, None
@@ -411,13 +396,13 @@ def _adder(dims: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
             if own != part:
                 part, held, hashes = own, [], None
             if kind == 0:
-                held.append(rows)
+                numbers = rows.column("number").to_numpy().copy()
+                held.append((numbers, opened(rows.column("vector"), np.float32)[0].copy()))
                 continue
             if hashes is None:
-                numbers = [x.column("number").to_numpy() for x in held]
-                hashes = np.concatenate(numbers) if held else np.empty(0, np.int64)
-                vectors = [matrix(x.column("vector"), dims) for x in held]
-                vectors = np.concatenate(vectors) if held else np.empty((0, dims), np.float32)
+                numbers, values = zip(*held) if held else ([], [])
+                hashes = np.concatenate([*numbers, np.empty(0, np.int64)])
+                vectors = np.concatenate([*values, np.empty(0, np.float32)]).reshape(-1, dims)
                 held = []
             for a in range(0, rows.num_rows, 256):
                 some = rows.slice(a, 256)
@@ -427,7 +412,7 @@ def _adder(dims: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
                     starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
                     sums = np.add.reduceat(vectors[ids].astype(np.float64), starts)
                     made[owner[starts]] = sums / lengths[owner[starts], None]
-                listing = listed(made, schema.field("vector").type)
+                listing = closed(made.ravel(), np.arange(0, made.size + 1, dims))
                 yield pa.RecordBatch.from_arrays([some.column("number"), listing], schema=schema)
 
     return run
