@@ -30,6 +30,7 @@ from lexloom.functions import (
 )
 from lexloom.operators import embeddings as emb
 from lexloom.operators import metrics, rows, sampling, terms
+from lexloom.operators.blocks import union
 from lexloom.operators.nearest import nearest
 from lexloom.operators.pivots import nearest_by_pivots
 from lexloom.operators.paragraphs import DIMS as PARAGRAPH_DIMS
@@ -47,7 +48,7 @@ from lexloom.sources import (
     with_slice,
     write_parquet,
 )
-from lexloom.sources.staging import new_path
+from lexloom.sources.staging import Staging, new_path, remove
 
 # Parameters shared by the queries and their SQL.
 STOP_WORDS = ["and", "avec", "das", "der", "die", "for", "les", "los", "que", "the", "und", "with"]
@@ -65,6 +66,8 @@ CHUNK_TOKENS = 500
 TOKEN_RULES = token_rules(["e.g.", "i.e.", "Mr.", "Dr.", "z.B."])
 CHAIN_LABELS = ["en", "fr"]
 SMALL_DIMS = 8
+# Documents whose words are joined at a time.
+WAVE_DOCUMENTS = 131_072
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -543,9 +546,20 @@ def embedding_means(spark: SparkSession, sf: str) -> DataFrame:
     words = model.getVectors().select(
         F.col("word").alias("term"), *[values[i].alias(f"v{i}") for i in range(SMALL_DIMS)]
     )
-    counted = terms.term_rows(docs.withColumn("n", F.size("tokens")), ["doc_id", "n"], "tokens")
     sums = [F.sum(F.col(f"v{i}") * F.col("tf")) / F.first("n") for i in range(SMALL_DIMS)]
-    means = counted.join(words, "term").groupBy("doc_id").agg(F.array(*sums).alias("mean"))
+    # The words of a bounded number of documents at a time, so that the disk has room for them.
+    waves = max(1, -(-docs.count() // WAVE_DOCUMENTS))
+    own = F.pmod(F.xxhash64("doc_id"), F.lit(waves)).cast("int").alias("wave")
+    found = []
+    with Staging(spark) as staging:
+        sized = docs.select("doc_id", "tokens", F.size("tokens").alias("n"), own)
+        sized = staging.write(sized, "sized-tokens", ["wave"])
+        words = staging.write(words, "terms")
+        for wave in range(waves):
+            counted = terms.term_rows(sized.filter(F.col("wave") == wave), ["doc_id", "n"], "tokens")
+            mean = counted.join(words, "term").groupBy("doc_id").agg(F.array(*sums).alias("mean"))
+            found.append(stage(mean, "word-means"))
+    means = union(found)
     embedded = emb.embed(docs, model, "tokens").select("doc_id", "embedding")
     both = embedded.join(means, "doc_id", "left")
     mean = F.coalesce("mean", F.array_repeat(F.lit(0.0), SMALL_DIMS))
@@ -613,6 +627,7 @@ def leaders_drift(spark: SparkSession, sf: str) -> DataFrame:
     tokens = tokenise("speech", MIN_LENGTH)
     speeches = rows.with_tokens(speeches, tokens, stop_words=STOP_WORDS).drop("speech")
     speeches = stage(speeches.withColumn("year", parse_year("sitting_date")), "speeches")
+    remove(spark, path)
     model = emb.fit_embedding(speeches, "tokens", SEED)
     leaders = rows.within(rows.with_marker(speeches, "roles", "c1"), "year", 1995, 2001)
     vectors = plans.period_vectors(
