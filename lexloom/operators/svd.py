@@ -43,9 +43,11 @@ ROUNDS = 100
 # Singular values below these shares of the largest are zero but for rounding.
 LEAST, LEAST_OF_SQUARES = 1e-9, 1e-4
 
+# Rows and weights of the entries are the bytes of ints and doubles, as Spark hands over arrays
+# number by number, and a block goes through a task in every round.
 _PACKED = (
     "part bigint, blocks int, block int, terms array<bigint>, ends array<int>,"
-    " rows array<int>, weights array<double>"
+    " rows binary, weights binary"
 )
 _FOUND = "part bigint, concept int, singular_value double, term_hash bigint, weight double"
 _MOVED = "part bigint, term_hash bigint, line int, v array<double>"
@@ -136,8 +138,9 @@ def _packed(dealt: DataFrame, partitions: int) -> DataFrame:
             _, rows = np.unique(rows, return_inverse=True)
             last = np.append(terms[1:] != terms[:-1], True)
             values = terms[last], np.flatnonzero(last) + 1, rows, weights
-            listed = [[part], [blocks], [block], *[[x.tolist()] for x in values]]
-            made = [pa.array(x, f.type) for x, f in zip(listed, arrow)]
+            listed = [part, blocks, block, *values[:2]]
+            listed += [values[2].astype(np.int32).tobytes(), values[3].tobytes()]
+            made = [pa.array([x], f.type) for x, f in zip(listed, arrow)]
             return pa.RecordBatch.from_arrays(made, schema=arrow)
 
         for batch in batches:
@@ -168,30 +171,41 @@ def _tools() -> SimpleNamespace:
 
     class Block:
         def __init__(self, ends, rows, weights):
-            self.rows, self.weights = rows, weights
-            self.terms = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
             self.shape = int(rows.max()) + 1, len(ends)
+            self.terms = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+            self.rows, self.weights = rows.astype(np.int64), weights
+            self.starts = np.append(0, ends[:-1])
+            # The entries in order of rows, too: small numbers are sorted by their digits.
+            small = rows.astype(np.uint16) if self.shape[0] <= 2**16 else rows
+            order = np.argsort(small, kind="stable")
+            self.row_terms, self.row_weights = self.terms[order], weights[order]
+            first = np.append(True, rows[order][1:] != rows[order][:-1])
+            self.row_starts = np.flatnonzero(first)
 
         def times(self, v: np.ndarray) -> np.ndarray:
             """The block times some vectors; column by column, so that no copy per entry is made."""
-            n = self.shape[0]
-            return np.stack(
-                [np.bincount(self.rows, self.weights * x[self.terms], n) for x in v.T], axis=1
-            )
+            return added(v, self.row_terms, self.row_weights, self.row_starts)
 
         def back(self, y: np.ndarray) -> np.ndarray:
-            n = self.shape[1]
-            return np.stack(
-                [np.bincount(self.terms, self.weights * x[self.rows], n) for x in y.T], axis=1
-            )
+            return added(y, self.rows, self.weights, self.starts)
 
         def full(self) -> np.ndarray:
             at = self.rows * self.shape[1] + self.terms
             return np.bincount(at, self.weights, self.shape[0] * self.shape[1]).reshape(self.shape)
 
+    def added(vectors, places, weights, starts) -> np.ndarray:
+        """Sums over runs of entries; every row and every term of a block has one."""
+        out, met = np.empty((vectors.shape[1], starts.size)), np.empty(places.size)
+        for i, column in enumerate(np.ascontiguousarray(vectors.T)):
+            np.take(column, places, out=met, mode="clip")
+            np.multiply(met, weights, out=met)
+            np.add.reduceat(met, starts, out=out[i])
+        return np.ascontiguousarray(out.T)
+
     def unpacked(batch: pa.RecordBatch, i: int) -> tuple:
-        names = ("terms", "ends", "rows", "weights")
-        return tuple(batch.column(x)[i].values.to_numpy(zero_copy_only=False) for x in names)
+        lists = (batch.column(x)[i].values.to_numpy(zero_copy_only=False) for x in ("terms", "ends"))
+        rows, weights = (batch.column(x)[i].as_buffer() for x in ("rows", "weights"))
+        return *lists, np.frombuffer(rows, np.int32), np.frombuffer(weights, np.float64)
 
     def subspace(products: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Squared singular values, falling, and their vectors in terms of the present ones."""
@@ -387,7 +401,7 @@ def _iterated(packed: DataFrame, k: int, staging: Staging, partitions: int) -> D
     vectors = meeting.select("part", "term_hash").distinct().withColumn("v", random)
     payload = packed.select("part", "block", "terms", "ends", "rows", "weights")
     no_numbers = F.lit(None).cast("array<double>")
-    packing = ("array<bigint>", "array<int>", "array<int>", "array<double>")
+    packing = ("array<bigint>", "array<int>", "binary", "binary")
     turns, before = None, []
     for number in range(ROUNDS):
         used = vectors

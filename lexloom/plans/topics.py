@@ -32,7 +32,9 @@ def _loadings(
         else:
             # A row without a term stands for the document itself.
             alone = docs.select(*keys, F.lit(None).cast("string"), F.lit(1).cast("bigint"))
-            weighted = sliced_tfidf(rows.union(alone), slice, max_df, vocab)
+            # Read several times, and slow to make.
+            rows = staging.write(rows.union(alone), "topic-terms")
+            weighted = sliced_tfidf(rows, slice, max_df, vocab)
         entries = staging.write(weighted.select(*keys, "term", "weight"), "topic-entries")
         return truncated_svd(entries, k, part=part, row="_doc")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+
 import numpy as np
 import pytest
 
@@ -9,6 +11,10 @@ from pyspark.sql import functions as F
 
 from lexloom.operators import svd
 from lexloom.operators.svd import truncated_svd
+from lexloom.operators.terms import sliced_tfidf
+
+# The package has a function of the same name.
+topics_plan = importlib.import_module("lexloom.plans.topics")
 
 SCHEMA = "part string, row long, term string, weight double"
 
@@ -107,3 +113,29 @@ def test_blocks_of_a_part_are_tasks_of_their_own(spark):
         assert len(placed) == 6 == len({at for _, at in placed})
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_entries_pass_the_rounds_as_bytes(spark):
+    """A block's entries go through a task in every round; as arrays that took most of it."""
+    draw = np.random.default_rng(5)
+    rows = entries(spark, {"a": sparse(draw, 9, 7, 0.6)}).selectExpr(
+        "xxhash64(part) AS part", "xxhash64(row) AS row", "xxhash64(term) AS term_hash", "weight"
+    )
+    several = spark.createDataFrame([], "part bigint, several int")
+    packed = svd._packed(svd._dealt(rows, several), 2)
+    assert dict(packed.dtypes)["rows"] == dict(packed.dtypes)["weights"] == "binary"
+    (block,) = packed.collect()
+    assert len(block.weights) == 2 * len(block.rows) == 8 * rows.count() == 8 * block.ends[-1]
+
+
+def test_tokens_of_slices_are_counted_once(spark, monkeypatch):
+    """Terms of documents are a table, not worked out for each of the tables that read them."""
+    read = []
+
+    def weighted(rows, *rest):
+        read.append(bool(rows.inputFiles()) and "Generate" not in rows._jdf.queryExecution().toString())
+        return sliced_tfidf(rows, *rest)
+
+    monkeypatch.setattr(topics_plan, "sliced_tfidf", weighted)
+    df = spark.createDataFrame([("x", ["a", "b"]), ("x", ["a", "c"]), ("y", ["b"])], "s string, t array<string>")
+    assert topics_plan.topics(df, "t", k=1, max_df=4, slice="s").count() > 0 and read == [True]
