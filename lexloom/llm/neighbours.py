@@ -39,6 +39,9 @@ from lexloom.llm.vectors import (
 )
 from lexloom.sources import stage
 
+# So many times the results asked for may reach a query's bound before those of a block are ranked.
+FEW_TIMES = 4
+
 
 @dataclass(frozen=True)
 class Index:
@@ -125,9 +128,13 @@ def _score(k: int):
         def find(queries: np.ndarray, bounds: np.ndarray):
             scores = queries @ vectors.T
             slack = SLACK * lengths * np.sqrt((queries * queries).sum(axis=1))
-            if ids.size > k + 1:
-                least = np.partition(scores, ids.size - k - 1, axis=1)[:, ids.size - k - 1]
-                bounds = np.maximum(bounds, least)
+            # Where few reach the bound so far, the k-th best of this block need not be known.
+            many = np.count_nonzero(scores >= bounds[:, None], axis=1) > FEW_TIMES * (k + 1)
+            if ids.size > k + 1 and many.any():
+                own = scores[many]
+                least = np.partition(own, ids.size - k - 1, axis=1)[:, ids.size - k - 1]
+                bounds = bounds.copy()
+                bounds[many] = np.maximum(bounds[many], least)
             row, column = np.nonzero(scores >= (bounds - slack)[:, None])
             # Again, pair by pair: equal vectors then have equal scores, to the last bit.
             exact = np.einsum("ij,ij->i", queries[row], vectors[column])

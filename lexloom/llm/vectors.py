@@ -24,7 +24,7 @@ BLOCK = 4096
 QUERY_BLOCK = 65_536
 # Queries whose scores against a block are held at once.
 TILE = 128
-# Results held before all but the best of each query are dropped.
+# Results held before all but the best of each query are dropped, but twice what was kept at least.
 HELD = 200_000
 # Scores this much below a bound, relatively, still count as reaching it.
 SLACK = 1e-9
@@ -70,7 +70,7 @@ class Best:
     def __init__(self, k: int):
         self.k = k
         self._parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self._held = 0
+        self._held, self._most = 0, HELD
         self._bounded = np.empty(0, np.int64)  # queries that have k results, sorted
         self._bounds = np.empty(0)
 
@@ -84,8 +84,11 @@ class Best:
     def add(self, queries: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         self._parts.append((queries, ids, scores))
         self._held += queries.size
-        if self._held > HELD:
+        if self._held > self._most:
             queries, ids, scores = self.results()
+            # With many queries the best alone are more than that; dropping at every addition
+            # would sort all of them again and again.
+            self._most = max(HELD, 2 * queries.size)
             self._parts, self._held = [(queries, ids, scores)], queries.size
             last = np.flatnonzero(np.append(queries[1:] != queries[:-1], True))
             full = last[np.diff(np.append(-1, last)) >= self.k]

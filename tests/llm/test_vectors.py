@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexloom.llm import exact_top_k as exact
-from lexloom.llm import vectors
+from lexloom.llm import neighbours, vectors
 from lexloom.llm.exact_top_k import exact_top_k
 from lexloom.llm.neighbours import Index, nearest_by_product
 from lexloom.llm.queries import QUERIES
@@ -189,3 +189,37 @@ def test_best_drops_repeats_and_bounds(monkeypatch):
     queries, ids, _ = best.results()
     assert queries.tolist() == [1, 1, 2, 2] and ids.tolist() == [28, 27, 29, 26]
     assert best.bounds(np.array([1, 2, 3])).tolist()[2] == -np.inf
+
+
+def test_blocks_are_ranked_only_where_many_reach_the_bound(monkeypatch):
+    """With bounds that few vectors reach, the k-th best of a block is not looked for."""
+    rng = np.random.default_rng(2)
+    given, queries = rng.normal(size=(500, 8)), rng.normal(size=(9, 8))
+    find = neighbours._score(5)(given, np.arange(500))
+    scores = queries @ given.T
+    ranked, partition = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda x, *rest, **more: ranked.append(len(x)) or partition(x, *rest, **more))
+    bounds = np.sort(scores, axis=1)[:, -7]
+    row, ids, found = find(queries, bounds)
+    assert not ranked and row.size == 63
+    bounds[3] = -np.inf
+    again, other_ids, _ = find(queries, bounds)
+    assert ranked == [1] and np.isneginf(bounds[3])
+    for q in range(9):
+        best = set(np.argsort(-scores[q])[:5].tolist())
+        assert best <= set(ids[row == q].tolist()) and best <= set(other_ids[again == q].tolist())
+
+
+def test_results_of_many_queries_are_not_sorted_at_every_addition(monkeypatch):
+    """Also where the best of all queries are more than may be held."""
+    monkeypatch.setattr(vectors, "HELD", 50)
+    sorts, results = [], vectors.Best.results
+    monkeypatch.setattr(vectors.Best, "results", lambda self: sorts.append(1) or results(self))
+    rng = np.random.default_rng(4)
+    best, all_scores = vectors.Best(2), rng.random((40, 300))
+    for i in range(300):
+        best.add(np.arange(40), np.full(40, i), all_scores[:, i])
+    assert len(sorts) < 200
+    queries, ids, scores = best.results()
+    assert np.array_equal(scores.reshape(40, 2), -np.sort(-all_scores, axis=1)[:, :2])
+    assert np.array_equal(best.bounds(np.arange(40)) <= scores[1::2], np.full(40, True))
